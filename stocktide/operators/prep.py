@@ -124,10 +124,21 @@ def guarded_corr(x: Column, y: Column) -> Column:
 
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str = "target") -> DataFrame:
-    """Absolute correlation of each column with the target, in one pass over the rows."""
-    y = F.col(target)
-    entries = [F.struct(F.lit(c).alias("feature"), F.abs(guarded_corr(F.col(c), y)).alias("correlation")) for c in columns]
-    return df.agg(F.array(*entries).alias("pairs")).select(F.inline("pairs"))
+    """Absolute correlation of each column with the target, in one pass over the rows.
+
+    The columns of a row become (position, value) pairs that are aggregated in
+    the same task, so only one row per column and task is shuffled. One wide
+    aggregate with a correlation per column would exceed what Spark compiles.
+    """
+    columns = list(columns)
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    pairs = df.select(F.col(target).cast("double").alias("y"), F.posexplode(values).alias("at", "x"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return (
+        pairs.groupBy("at")
+        .agg(F.abs(guarded_corr(F.col("x"), F.col("y"))).alias("correlation"))
+        .select(names[F.col("at")].alias("feature"), "correlation")
+    )
 
 
 def rank_correlations(correlations: DataFrame, n: int | None = None) -> DataFrame:

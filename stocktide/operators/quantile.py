@@ -27,7 +27,8 @@ def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = ACCURAC
     n = bracket.select("n").scalar()
     counts = (
         values.where(F.col("v") <= bounds[1])
-        .groupBy(F.when(F.col("v") >= bounds[0], F.col("v")).alias("v"))
+        .select(F.when(F.col("v") >= bounds[0], F.col("v")).alias("v"))
+        .groupBy("v")
         .agg(F.count("*").alias("c"))
     )
     ranked = counts.withColumn(

@@ -10,7 +10,6 @@ from ..operators.ensemble import add_previous_block_errors, align, best_weight,
 from ..operators.prep import feature_columns, rank_correlations, target_correlations
 from ..operators.selection import keep_products, top_products
 from ..operators.simple_ar import recent_level, simple_ar
-from ..plans.features import feature_table
 from ..plans.reports import demand_trends, inventory_positioning, risk_rank, risk_scores, weekly_demand
 from ..sources.demand import demand_calendar, raw_demand
 from .base import AS_OF, MIN_YEAR, PEAKS, register
@@ -27,7 +26,7 @@ from .ctes import (
     ensemble,
     forecasts,
 )
-from .projections import BODY, SCORED_DOUBLES, TRENDS
+from .projections import BODY, TRENDS, features_of
 
 LONG_HORIZON = 120
 
@@ -223,7 +222,7 @@ CORRELATIONS = (
 
 
 def correlations(spark, folder):
-    features = feature_table(raw_demand(spark, folder), demand_calendar(spark, folder))
+    features = features_of(spark, folder)
     columns = [c for c in feature_columns(features) if c not in ONE_HOT]
     return target_correlations(features, columns)
 

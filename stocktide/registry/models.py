@@ -26,15 +26,15 @@ from ..operators.scores import compare_models, full_metrics, model_scores
 from ..operators.seasonal_arima import fit_seasonal_arima, forecast_with_fallback
 from ..operators.selection import top_products, with_min_history
 from ..operators.simple_ar import add_components, simple_ar
-from ..plans.features import feature_table, sided_features
+from ..plans.features import sided_features
 from ..plans.forecasting import MODELS, ensemble_run, product_forecasts
 from ..session import materialize
 from ..settings import DEFAULTS
-from ..sources.demand import demand_calendar, raw_demand
+from ..sources.demand import demand_calendar, demand_levels, raw_demand
 from .base import PEAKS, register
 from .ctes import CALENDAR, CALENDAR_NAMES, DOUBLE_FEATURES, FEATURE_TABLE, ONE_HOT_SQL, RAW, ensemble, forecasts
 from .joins import LONG_HORIZON, PEAK_SQL, both_models
-from .projections import BODY
+from .projections import BODY, features_of
 
 # Smaller forests than the default, so that a check run ends in seconds.
 QUICK = {"numTrees": 10, "maxDepth": 8}
@@ -42,21 +42,27 @@ QUICK = {"numTrees": 10, "maxDepth": 8}
 _STORED: dict = {}
 
 
-def stored_features(spark, folder):
-    """The feature table with its side, written once per application for the model queries."""
-    key = (spark.sparkContext.applicationId, folder)
+def _stored(spark, folder, name, make):
+    """A table that is written once per application, as training reads its input many times."""
+    key = (spark.sparkContext.applicationId, folder, name)
     if key not in _STORED:
-        table = feature_table(raw_demand(spark, folder), demand_calendar(spark, folder))
-        _STORED[key] = materialize(sided_features(table), "features")
+        _STORED[key] = materialize(make(), name)
     return _STORED[key]
 
 
+def stored_features(spark, folder):
+    return _stored(spark, folder, "features", lambda: sided_features(features_of(spark, folder)))
+
+
+def stored_matrix(spark, folder):
+    return _stored(spark, folder, "matrix", lambda: feature_matrix(stored_features(spark, folder)))
+
+
 def trained(spark, folder):
     """(model, matrix, input columns) of a quick forest on the training side."""
-    features = stored_features(spark, folder)
-    columns = feature_columns(features)
-    matrix = feature_matrix(features, columns)
-    return forest.fit_forest(matrix.where("side = 'train'"), **QUICK), matrix, columns
+    matrix = stored_matrix(spark, folder)
+    model = forest.fit_forest(matrix.where("side = 'train'"), **QUICK)
+    return model, matrix, feature_columns(stored_features(spark, folder))
 
 
 @register(
@@ -73,7 +79,8 @@ def calendar_feature_set(spark, folder):
 
 @register("i4_one_hot", RAW + BODY + f"SELECT product_id, date, {ONE_HOT_SQL} FROM raw_demand")
 def one_hot(spark, folder):
-    return add_one_hot(raw_demand(spark, folder).select("product_id", "date", "category", "warehouse", "region"))
+    rows = raw_demand(spark, folder).select("product_id", "date", "category", "warehouse", "region")
+    return add_one_hot(rows, demand_levels(spark, folder))
 
 
 _FEATURE_DIGITS = {c: 4 if c in ("price_demand_corr_30d", "revenue") else 6 for c in (*DOUBLE_FEATURES, "price_demand_corr_30d")}
@@ -81,7 +88,7 @@ _FEATURE_DIGITS = {c: 4 if c in ("price_demand_corr_30d", "revenue") else 6 for
 
 @register("i5_feature_table", FEATURE_TABLE + BODY + "SELECT * FROM sided", _FEATURE_DIGITS)
 def whole_feature_table(spark, folder):
-    return sided_features(feature_table(raw_demand(spark, folder), demand_calendar(spark, folder)))
+    return sided_features(features_of(spark, folder))
 
 
 _SIDES = (
@@ -105,7 +112,7 @@ def split_by_time(spark, folder):
 
 @register("i7_feature_matrix")
 def matrix_rows(spark, folder):
-    matrix = feature_matrix(stored_features(spark, folder))
+    matrix = stored_matrix(spark, folder)
     values = vector_to_array("features")
     return matrix.select(
         "product_id",
@@ -142,8 +149,8 @@ def top_importance(spark, folder):
 
 @register("i11_out_of_bag")
 def out_of_bag_score(spark, folder):
-    matrix = feature_matrix(stored_features(spark, folder)).where("side = 'train'")
-    judged = forest.out_of_bag(matrix, bags=5, maxDepth=8)
+    matrix = stored_matrix(spark, folder).where("side = 'train'")
+    judged = forest.out_of_bag(matrix, bags=4, maxDepth=5)
     return judged.agg(F.count("*").alias("n_rows"), forest.r2("actual", "predicted").alias("oob_r2"))
 
 
@@ -176,9 +183,9 @@ def time_folds(spark, folder):
 
 @register("i13_cross_validation")
 def cross_validation(spark, folder):
-    features = stored_features(spark, folder)
-    labels = fold_labels(features.select("date").distinct())
-    return forest.cross_validate(feature_matrix(features), labels, numTrees=3, maxDepth=6)
+    matrix = stored_matrix(spark, folder)
+    labels = fold_labels(matrix.select("date").distinct())
+    return forest.cross_validate(matrix, labels, numTrees=2, maxDepth=5)
 
 
 @register("i14_reduced_inputs")

@@ -23,7 +23,7 @@ from ..operators.simple_ar import simple_ar
 from ..plans.features import feature_table
 from ..plans.reports import demand_trends, demand_profile, inventory_positioning, promo_rows, risk_scores
 from ..settings import NON_FEATURE_COLUMNS
-from ..sources.demand import add_partition_keys, add_revenue, demand_calendar, raw_demand
+from ..sources.demand import add_partition_keys, add_revenue, demand_calendar, demand_levels, raw_demand
 from .base import AS_OF, MIN_YEAR, register
 from .ctes import (
     AS_OF_SQL,
@@ -75,6 +75,11 @@ def demand(spark, folder):
     return raw_demand(spark, folder)
 
 
+def features_of(spark, folder):
+    """The feature table; days and one-hot values come from the small given tables."""
+    return feature_table(demand(spark, folder), demand_calendar(spark, folder), demand_levels(spark, folder))
+
+
 @register(
     "b1_projection",
     RAW
@@ -312,7 +317,7 @@ _GROUPS = {
     ),
 )
 def count_feature_groups(spark, folder):
-    df = feature_table(demand(spark, folder), demand_calendar(spark, folder))
+    df = features_of(spark, folder)
     columns = feature_columns(df)
     entries = []
     for group in feature_groups(columns):

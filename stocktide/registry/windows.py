@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import series as s
-from ..operators.ensemble import FIRST, SECOND
 from ..operators.simple_ar import add_components
-from ..plans.features import feature_table
 from ..sources.demand import raw_demand
 from .base import register
 from .ctes import FEATURES, LAG_NAMES, PRICE_NAMES, RAW, ROLL_NAMES, forecasts

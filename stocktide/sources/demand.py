@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates
+from ..operators.prep import ONE_HOT_PREFIXES, levels_of
 from .tables import read_table
 
 
@@ -37,14 +38,26 @@ def spine(span: DataFrame) -> DataFrame:
     return span.select(F.explode(F.sequence("first_day", "last_day")).alias("date"))
 
 
+def _region_no() -> Column:
+    """Each brand belongs to one region: its number modulo five."""
+    return F.pmod(F.substring_index("p_brand", "#", -1).cast("int"), F.lit(5))
+
+
+def _add_region(df: DataFrame, regions: DataFrame) -> DataFrame:
+    """Region and its warehouse in place of the region number."""
+    named = regions.select(F.col("r_regionkey").alias("region_no"), F.col("r_name").alias("region"))
+    return df.join(named, "region_no").withColumn("warehouse", F.concat(F.lit("WH-"), "region")).drop("region_no")
+
+
 def daily_sales(lines: DataFrame, parts: DataFrame) -> DataFrame:
     """Units and mean paid price per product line and day with a sale.
 
     Prices are summed as whole numbers (cents times percent paid), so the mean
-    does not depend on the order of the rows.
+    does not depend on the order of the rows. ``rint`` is used because ``round``
+    on doubles goes through decimals row by row.
     """
-    list_cents = F.round(F.col("p_retailprice") * 100).cast("long")
-    paid_pct = F.round((1 - F.col("l_discount")) * 100).cast("long")
+    list_cents = F.rint(F.col("p_retailprice") * 100).cast("long")
+    paid_pct = F.rint((1 - F.col("l_discount")) * 100).cast("long")
     return (
         lines.select("l_partkey", "l_quantity", "l_discount", F.to_date("l_shipdate").alias("date"))
         .join(
@@ -59,7 +72,7 @@ def daily_sales(lines: DataFrame, parts: DataFrame) -> DataFrame:
         .select(
             F.concat_ws("/", "p_brand", "p_type").alias("product_id"),
             F.col("p_type").alias("category"),
-            F.pmod(F.substring_index("p_brand", "#", -1).cast("int"), F.lit(5)).alias("region_no"),
+            _region_no().alias("region_no"),
             "date",
             "units",
             "paid_price",
@@ -72,7 +85,13 @@ def fill_days(sales: DataFrame, first_day: Column, last_day: Column) -> DataFram
 
     Units of a filled day are 0. Its price is the last paid price, or the first
     one for days before any sale.
+
+    Filling multiplies the rows and every later window works on the result, so
+    the exchange gets the session's number of shuffle partitions outright:
+    adaptive execution would merge partitions by the few bytes that go in.
     """
+    partitions = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sales = sales.repartition(partitions, "product_id")
     series = Window.partitionBy("product_id").orderBy("date")
     gaps = sales.withColumns(
         {
@@ -106,18 +125,8 @@ def assemble(lines: DataFrame, parts: DataFrame, regions: DataFrame) -> DataFram
     span = sale_span(lines)
     sales = daily_sales(lines, parts)
     filled = fill_days(sales, span.select("first_day").scalar(), span.select("last_day").scalar())
-    named = filled.join(
-        regions.select(F.col("r_regionkey").alias("region_no"), F.col("r_name").alias("region")),
-        "region_no",
-    )
-    fact = named.select(
-        "product_id",
-        "date",
-        "units_sold",
-        "price",
-        "category",
-        F.concat(F.lit("WH-"), F.col("region")).alias("warehouse"),
-        "region",
+    fact = _add_region(filled, regions).select(
+        "product_id", "date", "units_sold", "price", "category", "warehouse", "region"
     )
     return add_partition_keys(add_revenue(fact))
 
@@ -127,6 +136,16 @@ def raw_demand(spark: SparkSession, folder: str) -> DataFrame:
     return assemble(*(read_table(spark, folder, t) for t in ("lineitem", "part", "region")))
 
 
+def demand_levels(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Values of category, warehouse and region in the catalogue, for one-hot columns.
+
+    They come from the two catalogue tables, not from a pass over the fact.
+    """
+    parts = read_table(spark, folder, "part")
+    products = parts.select(F.col("p_type").alias("category"), _region_no().alias("region_no"))
+    return levels_of(_add_region(products, read_table(spark, folder, "region")), ONE_HOT_PREFIXES)
+
+
 def demand_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """The days of the fact, from one column of the order lines."""
     return spine(sale_span(read_table(spark, folder, "lineitem")))

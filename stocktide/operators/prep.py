@@ -149,10 +149,18 @@ def rank_correlations(correlations: DataFrame, n: int | None = None) -> DataFram
 def feature_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Key, ``label`` and one ``features`` vector; missing and infinite values become 0."""
     columns = list(columns) if columns is not None else feature_columns(df)
+    types = dict(df.dtypes)
+
+    def clean_value(name: str) -> Column:
+        """Whole numbers have no NaN and no infinity, so they skip that test."""
+        if types[name] in ("double", "float"):
+            return finite_or_zero(F.col(name))
+        return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+
     label = "target" if "target" in df.columns else "units_sold"
     keep = [c for c in ("product_id", "date", "side") if c in df.columns]
     clean = df.select(
-        *keep, F.col(label).cast("double").alias("label"), *[finite_or_zero(F.col(c)).alias(c) for c in columns]
+        *keep, F.col(label).cast("double").alias("label"), *[clean_value(c).alias(c) for c in columns]
     )
     return VectorAssembler(inputCols=columns, outputCol="features").transform(clean).select(*keep, "label", "features")
 

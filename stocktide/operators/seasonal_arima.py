@@ -15,10 +15,12 @@ per product, solves small systems and steps the recursion.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +28,12 @@ from ..functions.numeric import floor_at_zero
 from .series import add_position, by_product
 from .simple_ar import simple_ar
 
+# The batch functions travel to the workers by value, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SEASON = 7
 TERM_LAGS = (1, 2, 7, 8, 9)
-LONG_LAGS = 14
+LONG_LAGS = 28
 STATE = 9
 PARAMETERS = 2 * len(TERM_LAGS) + 1
 MAX_CONDITION = 1e12
@@ -85,19 +90,15 @@ def regression_sums(rows: DataFrame, phi: DataFrame) -> DataFrame:
     fitted = sum((F.col("phi")[k - 1] * F.col(f"z{k}") for k in range(2, LONG_LAGS + 1)), F.col("phi")[0] * F.col("z1"))
     residual = rows.join(phi, "product_id").withColumn("e", F.col("z") - fitted)
     lagged = residual.withColumns({f"e{k}": _lag("e", k) for k in TERM_LAGS})
-    complete = F.col(f"e{max(TERM_LAGS)}").isNotNull()
-
-    def total(value: Column) -> Column:
-        return F.sum(F.when(complete, value))
-
+    complete = lagged.where(F.col(f"e{max(TERM_LAGS)}").isNotNull())
     x = [F.col(c) for c in _REGRESSORS]
-    sums = [total(x[i] * x[j]).alias(f"xx{i}_{j}") for i, j in _PAIRS]
-    sums += [total(c * F.col("z")).alias(f"xz{i}") for i, c in enumerate(x)]
+    sums = [F.sum(x[i] * x[j]).alias(f"xx{i}_{j}") for i, j in _PAIRS]
+    sums += [F.sum(c * F.col("z")).alias(f"xz{i}") for i, c in enumerate(x)]
     states = [
         F.max(F.when(F.col("age") == k, F.col(c))).alias(f"{c}_{k}") for c in ("y", "z", "e") for k in range(1, STATE + 1)
     ]
-    return lagged.groupBy("product_id").agg(
-        F.count(F.when(complete, 1)).alias("n"), total(F.col("z") * F.col("z")).alias("zz"), *sums, *states
+    return complete.groupBy("product_id").agg(
+        F.count("*").alias("n"), F.sum(F.col("z") * F.col("z")).alias("zz"), *sums, *states
     )
 
 

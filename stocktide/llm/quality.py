@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import labelled_sample
 from .text import CACHED_WORDS
 
 SLOTS = 1 << 14
@@ -203,16 +204,6 @@ def _typed(work):
     return work
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``text`` and ``label`` (mean of its labels) of up to ``rows`` labelled documents, chosen and ordered by a hash of the id."""
-    order = [F.xxhash64("__id", F.lit("sample")), F.col("__id")]
-    known = labels.select(F.col(key).alias("__id"), F.col(label).cast("double").alias("__y")).dropna()
-    known = known.groupBy("__id").agg(F.avg("__y").alias("label")).orderBy(*order).limit(rows)
-    texts = docs.select(F.col(key).alias("__id"), F.col(text).alias("text"))
-    # At most `rows` labels: bounded whatever the tables hold.
-    return texts.join(F.broadcast(known), "__id").select("__id", "text", "label", *[o.alias(f"__o{i}") for i, o in enumerate(order)])
-
-
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: int = FIT_ROWS, key: str = "doc_id", text: str = "text") -> QualityModel:
     """Word vectors from all ``docs``, the network from ``labels`` (``key``, ``label``) of up to ``fit_rows`` of them."""
     vectors = corpus_vectors(docs, text)
@@ -221,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
         return pa.array(list(pool(column.to_pylist(), vectors, Slots())), pa.list_(pa.float32()))
 
     sample = labelled_sample(docs, labels, label, fit_rows, key, text)
-    pooled = sample.select(F.arrow_udf(features, "array<float>")("text").alias("x"), "label", "__o0", "__o1")
-    rows = pooled.orderBy("__o0", "__o1", "x").limit(fit_rows).select("x", "label").collect()
+    rows = sample.select("place", "__id", F.arrow_udf(features, "array<float>")("text").alias("x"), "label").collect()  # fit_rows at most
+    rows.sort(key=lambda r: (r["place"], str(r["__id"])))
     x = np.array([r["x"] for r in rows], np.float32).reshape(-1, DIMS + 1)
     return QualityModel(vectors, fit_network(x, np.array([r["label"] for r in rows], float)))

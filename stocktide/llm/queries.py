@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from stocktide.sources.tables import read_table
 
-from . import lm, quality, simhash, substrings
+from . import ann, chat, decontam, lm, packing, quality, simhash, substrings, toxicity, urls
 from .text import fold
 
+#: The rules of the URL query, as (verdict, host and path).
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+#: Fixed value: the tokenizer of the packing query, by its name among the public ones.
+TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -37,6 +43,66 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"), "intervals")
 
 
+@query
+def op3_rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest rows of each row whose id is divisible by 20."""
+    return ann.nearest(read_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 4096 ids."""
+    return digests(packing.pack(read_table(spark, folder, "documents"), tokenizer_path()))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER))
+
+
+def digests(pieces: DataFrame) -> DataFrame:
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op5_containment(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of document and benchmark item, where the document holds the item."""
+    return decontam.contaminated(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+@query
+def op6_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """A verdict on every page."""
+    return urls.judge(read_table(spark, folder, "pages"), URL_RULES)
+
+
+@query
+def op7_conversation_prefixes(spark: SparkSession, folder: str) -> DataFrame:
+    """Maximal conversations, rendered."""
+    return chat.render(read_table(spark, folder, "conversations"))
+
+
+ORACLES["op7_conversation_prefixes"] = f"""
+WITH turns AS (
+    SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM turns
+), whole AS (
+    SELECT conv_id, count(*) AS n, list(role || chr(0) || text ORDER BY pos) AS lines FROM placed GROUP BY conv_id
+), beginnings AS (
+    SELECT lines[1:k] AS lines, max(n) AS longest FROM (SELECT lines, n, unnest(range(1, n + 1)) AS k FROM whole) GROUP BY 1
+), kept AS (
+    SELECT min(conv_id) AS conv_id, any_value(n) AS n_turns, count(*) AS copies
+    FROM whole JOIN beginnings USING (lines) WHERE longest = n GROUP BY lines
+)
+SELECT conv_id, (pos - 1) // {chat.PART_TURNS} AS part, n_turns, copies,
+       string_agg('<|' || role || '|>' || chr(10) || text || chr(10), '' ORDER BY pos) AS text
+FROM placed JOIN kept USING (conv_id)
+GROUP BY ALL
+"""
+
+
 @query
 def op8_random_indexing(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of all documents, with labels learnt from four folds of five."""
@@ -50,3 +116,18 @@ def op8_random_indexing(spark: SparkSession, folder: str) -> DataFrame:
 def op9_simhash_tiles(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of all documents."""
     return simhash.near_duplicates(read_table(spark, folder, "documents"))
+
+
+@query
+def op10_compression_distance(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, with labels learnt from four folds of five."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    labels = read_table(spark, folder, "labels").where(fold("doc_id") != 0)
+    scored = docs.select("doc_id", (fold("doc_id") == 0).alias("held_out"), toxicity.fit(docs, labels).score("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole corpus pipeline."""
+    return corpus_pipeline.run(spark, folder)

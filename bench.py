@@ -63,7 +63,7 @@ def main() -> None:
     levels = demand_levels(spark, FOLDER)
     features = timed(
         "i5_feature_table",
-        lambda: materialize(sided_features(feature_table(demand, calendar_of(demand), levels)), "features"),
+        lambda: sided_features(feature_table(demand, calendar_of(demand), levels)),
     )
     columns = feature_columns(features)
     timed("f6_top_correlations", lambda: consume(rank_correlations(target_correlations(features, columns), 15)))

@@ -22,10 +22,10 @@ def _alerts(df: DataFrame, alert: Column, subject: Column, date: Column, value:
 
 
 def stockout_alerts(risk: DataFrame, as_of: str) -> DataFrame:
-    """One alert per row of the stock-out report: last week's units against the week before."""
+    """One alert per scored product and warehouse at high risk: last week's units against the week before."""
     level = F.lower("stockout_risk_level")
     return _alerts(
-        risk,
+        risk.where(F.col("stockout_risk_level").isin("CRITICAL", "HIGH")),
         F.concat(F.lit("stockout_"), level),
         F.col("product_id"),
         day(as_of),

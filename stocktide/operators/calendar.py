@@ -99,11 +99,11 @@ def add_calendar_features(
     """Calendar features joined by day.
 
     Pass ``calendar`` when the days are known, which saves a pass over the fact.
-    The broadcast side has one row per day: a century is 36,525 rows.
+    It has one row per day; Spark compares its size with the broadcast threshold.
     """
     features = calendar_features(calendar if calendar is not None else calendar_of(df), holidays)
     replaced = [c for c in CALENDAR_FEATURES if c in df.columns]
-    return df.drop(*replaced).join(F.broadcast(features), "date", "left")
+    return df.drop(*replaced).join(features, "date", "left")
 
 
 def peak_months(spark: SparkSession, peaks: Mapping[str, Sequence[int]] = SEASONAL_PEAKS) -> DataFrame:

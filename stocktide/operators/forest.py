@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import FEATURE_IMPORTANCE
+from ..session import materialize
 from ..settings import DEFAULTS, ForestSettings
 from .prep import feature_matrix
 from .scores import mae, mape, median_ape, r2, rmse
@@ -44,6 +45,7 @@ def predict(model: RandomForestRegressionModel, matrix: DataFrame) -> DataFrame:
 
 def side_metrics(predicted: DataFrame) -> DataFrame:
     """One row of the full metric set for each of train and test."""
+    predicted = materialize(predicted, "predictions")
     sides = []
     for side in ("train", "test"):
         rows = predicted.where(F.col("side") == side)
@@ -71,48 +73,47 @@ def important_columns(ranked: DataFrame, threshold: float = FOREST.importance_th
     return [row.feature for row in ranked.where(F.col("importance") >= threshold).collect()]
 
 
-def bag_weight(bag: int) -> Column:
+def bag_weight(bag: int, bags: int | None = None) -> Column:
     """How often a row is drawn into a bag: Poisson(1) from a hash of its key.
 
     The hash makes the draw the same on every pass and after a lost executor.
+    With ``bags``, each row is kept out of one bag that its hash names, so that
+    at least one bag can judge it.
     """
     bits = F.pmod(F.xxhash64("product_id", "date", F.lit(bag)), F.lit(1 << 40))
     u = bits / float(1 << 40)
     drawn = F.when(u < _POISSON_ONE[0], 0.0)
     for count, limit in enumerate(_POISSON_ONE[1:], start=1):
         drawn = drawn.when(u < limit, float(count))
-    return drawn.otherwise(float(len(_POISSON_ONE)))
+    drawn = drawn.otherwise(float(len(_POISSON_ONE)))
+    if bags is None:
+        return drawn
+    return F.when(F.pmod(F.xxhash64("product_id", "date", F.lit("out")), F.lit(bags)) == bag, 0.0).otherwise(drawn)
 
 
 def out_of_bag(matrix: DataFrame, bags: int = 10, s: ForestSettings = FOREST, **overrides) -> DataFrame:
-    """Rows with ``predicted``, the mean over the bags that did not draw them.
-
-    Rows that every bag drew are left out: no bag can judge them.
-    """
+    """All rows with ``predicted``, the mean over the bags that did not draw them."""
     votes = matrix
     for bag in range(bags):
-        drawn = matrix.withColumn("bag_weight", bag_weight(bag)).where("bag_weight > 0")
+        drawn = materialize(matrix.withColumn("bag_weight", bag_weight(bag, bags)).where("bag_weight > 0"), "bag")
         model = fit_forest(
             drawn, s, **({"numTrees": 1, "bootstrap": False, "weightCol": "bag_weight", "seed": s.seed + bag} | overrides)
         )
         voted = model.setPredictionCol(f"_vote{bag}").transform(votes)
-        votes = voted.withColumn(f"_vote{bag}", F.when(bag_weight(bag) == 0, F.col(f"_vote{bag}")))
+        votes = voted.withColumn(f"_vote{bag}", F.when(bag_weight(bag, bags) == 0, F.col(f"_vote{bag}")))
     cast = [F.col(f"_vote{bag}") for bag in range(bags)]
     total = sum((F.coalesce(v, F.lit(0.0)) for v in cast), F.lit(0.0))
     n = sum((v.isNotNull().cast("int") for v in cast), F.lit(0))
-    return (
-        votes.withColumn("votes", n)
-        .where("votes > 0")
-        .select("product_id", "date", F.col("label").alias("actual"), (total / F.col("votes")).alias("predicted"), "votes")
-    )
+    judged = votes.withColumn("votes", n)
+    return judged.select("product_id", "date", F.col("label").alias("actual"), (total / F.col("votes")).alias("predicted"), "votes")
 
 
 def cross_validate(matrix: DataFrame, labels: DataFrame, folds: int = FOREST.folds, s: ForestSettings = FOREST, **overrides) -> DataFrame:
     """One row of scores per expanding time fold."""
     scores = None
     for fold in range(1, folds + 1):
-        dated = F.broadcast(labels.where(F.col("fold") == fold).select("date", "role"))
-        rows = matrix.join(dated, "date")
+        dated = labels.where(F.col("fold") == fold).select("date", "role")
+        rows = materialize(matrix.join(dated, "date"), "fold")
         model = fit_forest(rows.where("role = 'train'"), s, **overrides)
         made = predict(model, rows.where("role = 'test'"))
         row = made.agg(

@@ -5,34 +5,45 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import finite_or_zero, flag, ratio
 from ..settings import NON_FEATURE_COLUMNS
-from .calendar import CALENDAR_FEATURES
 from .quantile import date_quantile
 
 ONE_HOT_PREFIXES = {"category": "cat", "warehouse": "wh", "region": "reg"}
-MAX_LEVELS = 1000
 
 
 def one_hot_name(prefix: str, level: str) -> str:
     return f"{prefix}_{re.sub(r'[^0-9A-Za-z]+', '_', level)}"
 
 
-def levels_of(df: DataFrame, columns: Iterable[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted distinct values per column, read to the driver within a bound, in one pass."""
+def levels_of(df: DataFrame, columns: Iterable[str]) -> dict[str, list[str]]:
+    """Sorted distinct values per column, in one pass, for columns of their own.
+
+    A wide table has a column per value, so this is for catalogues of a width
+    that a table can have. ``add_level_vectors`` has no such limit.
+    """
     columns = list(columns)
     named = F.array(*[F.struct(F.lit(c).alias("source"), F.col(c).alias("level")) for c in columns])
-    distinct = df.select(F.inline(named)).where(F.col("level").isNotNull()).distinct()
-    rows = distinct.limit(len(columns) * max_levels + 1).collect()
-    found = {c: sorted(row.level for row in rows if row.source == c) for c in columns}
-    if len(rows) > len(columns) * max_levels or any(len(v) > max_levels for v in found.values()):
-        raise ValueError(f"more than {max_levels} values in a column; one-hot columns would be too wide")
-    return found
+    rows = df.select(F.inline(named)).where(F.col("level").isNotNull()).distinct().collect()
+    return {c: sorted(row.level for row in rows if row.source == c) for c in columns}
+
+
+def add_level_vectors(df: DataFrame, prefixes: Mapping[str, str] = ONE_HOT_PREFIXES) -> DataFrame:
+    """One sparse 0/1 vector ``<prefix>_levels`` per column, however many values it has; the source columns are dropped.
+
+    A null value has a vector of zeros. Positions follow the values in order.
+    """
+    for source, prefix in prefixes.items():
+        index, vector = f"_{prefix}_index", f"{prefix}_levels"
+        indexed = StringIndexer(inputCol=source, outputCol=index, stringOrderType="alphabetAsc", handleInvalid="keep")
+        df = indexed.fit(df).transform(df)
+        df = OneHotEncoder(inputCols=[index], outputCols=[vector], dropLast=True).fit(df).transform(df).drop(index, source)
+    return df
 
 
 def add_one_hot(
@@ -95,10 +106,15 @@ def feature_columns(df: DataFrame, excluded: Iterable[str] = NON_FEATURE_COLUMNS
     ]
 
 
-# How columns are counted by group. The two day distances and the
-# day of month are calendar features too, but do not belong to the counted group.
-_CALENDAR_GROUP = tuple(
-    c for c in CALENDAR_FEATURES if c not in ("day_of_month", "days_to_holiday", "is_holiday_week")
+# The calendar columns that are counted as a group.
+CALENDAR_GROUP = (
+    "day_of_week",
+    "month",
+    "quarter",
+    "week_of_year",
+    "is_weekend",
+    "is_month_start",
+    "is_month_end",
 )
 
 
@@ -108,7 +124,7 @@ def feature_groups(columns: Sequence[str]) -> dict[str, int]:
     tests = {
         "lag": lambda c: "lag" in c,
         "rolling": lambda c: "rolling" in c,
-        "calendar": lambda c: c in _CALENDAR_GROUP,
+        "calendar": lambda c: c in CALENDAR_GROUP,
         "price": lambda c: "price" in c or "promo" in c,
         "trend": lambda c: "trend" in c or "yoy" in c,
         "one_hot": lambda c: c.startswith(one_hot),
@@ -146,8 +162,11 @@ def rank_correlations(correlations: DataFrame, n: int | None = None) -> DataFram
     return ranked if n is None else ranked.limit(n)
 
 
-def feature_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Key, ``label`` and one ``features`` vector; missing and infinite values become 0."""
+def feature_matrix(df: DataFrame, columns: Sequence[str] | None = None, vectors: Sequence[str] = ()) -> DataFrame:
+    """Key, ``label`` and one ``features`` vector; missing and infinite values become 0.
+
+    ``vectors`` names vector columns, such as those of ``add_level_vectors``, that follow the numbers.
+    """
     columns = list(columns) if columns is not None else feature_columns(df)
     types = dict(df.dtypes)
 
@@ -160,9 +179,9 @@ def feature_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     label = "target" if "target" in df.columns else "units_sold"
     keep = [c for c in ("product_id", "date", "side") if c in df.columns]
     clean = df.select(
-        *keep, F.col(label).cast("double").alias("label"), *[clean_value(c).alias(c) for c in columns]
+        *keep, F.col(label).cast("double").alias("label"), *[clean_value(c).alias(c) for c in columns], *vectors
     )
-    return VectorAssembler(inputCols=columns, outputCol="features").transform(clean).select(*keep, "label", "features")
+    return VectorAssembler(inputCols=[*columns, *vectors], outputCol="features").transform(clean).select(*keep, "label", "features")
 
 
 def fold_labels(calendar: DataFrame, folds: int = 5) -> DataFrame:

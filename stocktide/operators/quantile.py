@@ -2,56 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
+from ..session import materialize
 
+BINS = 4096
 
-def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = ACCURACY) -> DataFrame:
+
+def _rank_value(values: DataFrame, rank: int, below: int, low: float, high: float, bins: int) -> float:
+    """The value at ``rank`` (from 0) of those in [low, high], of which ``below`` lie lower.
+
+    Each pass counts ``bins`` equal stretches, and goes on with the least and the
+    largest value of the stretch that holds the rank, until they are equal.
+    """
+    while low < high:
+        width = F.lit(high / bins - low / bins)
+        place = F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1)).alias("bin")
+        inside = values.where(F.col("v").between(low, high))
+        # One row per stretch: bounded by the parameter.
+        rows = inside.groupBy(place).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+        for row in sorted(rows, key=lambda r: r.lo):
+            if below + row.n > rank:
+                break
+            below += row.n
+        if (row.lo, row.hi) == (low, high):  # neighbouring numbers, which no width can part
+            return low if below + values.where(F.col("v") == low).count() > rank else high
+        low, high = row.lo, row.hi
+    return low
+
+
+def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS) -> DataFrame:
     """One row, one column ``quantile``: linear interpolation between order statistics.
 
-    ``percentile`` keeps every distinct value in one task. Here a bounded sketch
-    first gives a bracket that surely holds the wanted ranks: it reaches 4 n /
-    accuracy ranks to both sides, of which the sketch may miss one part in four.
-    Then values inside the bracket are counted exactly, rows below it are only
-    counted, and the ranks are read off running counts of at most about
-    10 n / accuracy distinct values. Fewer rows than ``accuracy`` need no sketch.
+    ``percentile`` keeps every distinct value in one task, and a sketch is not
+    exact. Here the range is narrowed by counting, which takes two or three
+    passes over one written column for common data, whatever its size.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    margin = 4.0 / accuracy
-    share = [max(q - margin, 0.0), min(q + margin, 1.0)]
-    found = values.agg(
-        F.count("*").alias("n"),
-        F.min("v").alias("least"),
-        F.max("v").alias("most"),
-        F.percentile_approx("v", share, F.lit(accuracy)).alias("near"),
-    )
-    few = F.col("n") <= accuracy
-    bracket = found.select(
-        "n",
-        F.array(
-            F.when(few, F.col("least")).otherwise(F.col("near")[0]),
-            F.when(few, F.col("most")).otherwise(F.col("near")[1]),
-        ).alias("bounds"),
-    )
-    bounds = bracket.select("bounds").scalar()
-    n = bracket.select("n").scalar()
-    counts = (
-        values.where(F.col("v") <= bounds[1])
-        .select(F.when(F.col("v") >= bounds[0], F.col("v")).alias("v"))
-        .groupBy("v")
-        .agg(F.count("*").alias("c"))
-    )
-    ranked = counts.withColumn(
-        "seen", F.sum("c").over(Window.orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("position", (n - 1) * F.lit(float(q)))
-    at = F.col("position")
-    return ranked.agg(
-        F.min(F.when(F.col("seen") > F.floor(at), F.col("v"))).alias("low"),
-        F.min(F.when(F.col("seen") > F.ceil(at), F.col("v"))).alias("high"),
-        F.first(at - F.floor(at)).alias("part"),
-    ).select((F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("quantile"))
+    spark = df.sparkSession
+    values = materialize(df.select(F.col(column).cast("double").alias("v")).where("v is not null and not isnan(v)"), "quantile")
+    found = values.agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    if not found.n:
+        return spark.createDataFrame([(None,)], "quantile double")
+    at = (found.n - 1) * q
+    low = _rank_value(values, int(at), 0, found.lo, found.hi, bins)
+    upto = values.where(F.col("v") <= low).count()
+    high = low if int(at) == at or upto > int(at) + 1 else values.where(F.col("v") > low).agg(F.min("v")).first()[0]
+    return spark.createDataFrame([(low + (high - low) * (at - int(at)),)], "quantile double")
 
 
 def date_quantile(df: DataFrame, q: float = 0.8, column: str = "date") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
+from ..session import materialize
 from .quantile import exact_quantile
 
 
@@ -54,7 +55,8 @@ def median_ape(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 
 def full_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """One row: mape, mdape, rmse, mae, r2."""
+    """One row: mape, mdape, rmse, mae, r2. The rows are written once and read for each part."""
+    df = materialize(df.select(actual, predicted), "scored")
     return df.agg(
         mape(actual, predicted).alias("mape"),
         rmse(actual, predicted).alias("rmse"),

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import floor_at_zero
+from ..session import materialize
 from .series import add_position, by_product
 from .simple_ar import simple_ar
 
@@ -156,7 +157,7 @@ def fit_seasonal_arima(series: DataFrame, horizon: int = 30) -> DataFrame:
     Products with too few rows, a singular system or a forecast that is not
     finite are absent.
     """
-    rows = differenced(series, horizon)
+    rows = materialize(differenced(series, horizon), "differenced")
     sums = regression_sums(rows, long_autoregression(rows))
     return sums.mapInPandas(_forecast_batches(horizon), FIT_SCHEMA)
 

@@ -86,6 +86,16 @@ def simple_ar(series: DataFrame, horizon: int = 30) -> DataFrame:
     )
 
 
+def both_forecasts(series: DataFrame, horizon: int = 30, first: str = "arima_forecast", second: str = "rf_forecast") -> DataFrame:
+    """The simple forecast and the recent mean side by side, from one pass over the series."""
+    mix = (
+        PATTERN_WEIGHT * F.col("pattern") + SEASON_WEIGHT * F.col("season") + LEVEL_WEIGHT * F.col("level")
+    )
+    return add_components(series, horizon).select(
+        "product_id", "date", "actual", floor_at_zero(mix).alias(first), F.col("level").alias(second)
+    )
+
+
 def recent_level(series: DataFrame, horizon: int = 30) -> DataFrame:
     """Forecast by the mean of the newest 30 training rows: ``rolling_mean_30d`` of the last one."""
     return add_components(series, horizon).select(

@@ -18,6 +18,7 @@ from ..operators.prep import (
 )
 from ..operators.selection import first_products, keep_products
 from ..operators.series import add_lags, add_price_features, add_rolling_features, add_trend_features
+from ..session import materialize
 from ..settings import DEFAULTS, DemandSettings
 
 
@@ -52,4 +53,6 @@ def train_and_test(features: DataFrame, s: DemandSettings = DEFAULTS) -> tuple[D
 
 
 def sided_features(features: DataFrame, s: DemandSettings = DEFAULTS) -> DataFrame:
+    """Features with their side of the split; they are written once, as the split day is a quantile of their rows."""
+    features = materialize(features, "features")
     return add_split_side(features, s.train_share, s.gap_days)

@@ -31,10 +31,10 @@ def rnd(expr: str, digits: int) -> str:
     return f"(sign({x}) * floor(abs({x}) * 1e{digits} + 0.5) / 1e{digits} + 0.0)"
 
 
-# Sums of doubles differ in the last bits between engines. Both sides are snapped
-# down to a decimal grid whose edges are shifted by a number without a short
-# decimal or binary form, so that prices and ratios never lie on an edge.
-GRID_SHIFT = 0.3719283
+# Sums of doubles differ in the last bits between engines, so both sides are rounded
+# to the nearest decimal. The half is a little more than a half, since values of
+# few digits that lie in the middle would fall to either side.
+GRID_SHIFT = 0.5000137
 
 
 def snap(value: Column, digits: int) -> Column:

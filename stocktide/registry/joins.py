@@ -9,8 +9,9 @@ from ..operators.calendar import add_peak_flag, calendar_features, peak_months
 from ..operators.ensemble import add_previous_block_errors, align, best_weight, grid_scores, tuning_points
 from ..operators.prep import feature_columns, rank_correlations, target_correlations
 from ..operators.selection import keep_products, top_products
-from ..operators.simple_ar import recent_level, simple_ar
+from ..operators.simple_ar import both_forecasts, recent_level, simple_ar
 from ..plans.reports import demand_trends, inventory_positioning, risk_rank, risk_scores, weekly_demand
+from ..session import materialize
 from ..sources.demand import demand_calendar, raw_demand
 from .base import AS_OF, MIN_YEAR, PEAKS, register
 from .ctes import (
@@ -32,9 +33,8 @@ LONG_HORIZON = 120
 
 
 def both_models(spark, folder, horizon: int = 30):
-    """Forecast points of the simple AR and of the recent mean, on the same days."""
-    demand = raw_demand(spark, folder)
-    return align(simple_ar(demand, horizon), recent_level(demand, horizon))
+    """Forecast points of the simple AR and of the recent mean, written once, as tuning and combining both read them."""
+    return materialize(both_forecasts(raw_demand(spark, folder), horizon), "points")
 
 
 @register(
@@ -143,6 +143,36 @@ def multi_key_sort(spark, folder):
     return weekly_demand(raw_demand(spark, folder), AS_OF, MIN_YEAR).select("product_id", "week_start", "weekly_units")
 
 
+def _numbered(df):
+    """``place`` of each row in the order of a sorted table of few rows."""
+    return materialize(df.coalesce(1).withColumn("place", F.monotonically_increasing_id()), "ordered")
+
+
+@register(
+    "f1_row_order",
+    RAW
+    + BODY
+    + f"""SELECT row_number() OVER (ORDER BY product_id, week_start) - 1 AS place, * FROM (
+    SELECT product_id, CAST(date_trunc('week', date) AS DATE) AS week_start FROM raw_demand
+    WHERE "year" >= {MIN_YEAR} AND date >= {AS_OF_SQL} - 364 GROUP BY ALL)""",
+)
+def order_of_weeks(spark, folder):
+    weeks = weekly_demand(raw_demand(spark, folder), AS_OF, MIN_YEAR)
+    return _numbered(weeks.select("product_id", "week_start"))
+
+
+@register(
+    "f2_row_order",
+    RAW
+    + BODY
+    + f"""SELECT row_number() OVER (ORDER BY units DESC, product_id) - 1 AS place, product_id FROM (
+    SELECT product_id, floor(30 * avg(CASE WHEN date >= {AS_OF_SQL} - 14 THEN units_sold END) + 0.5) AS units
+    FROM raw_demand WHERE date >= {AS_OF_SQL} - 90 GROUP BY 1)""",
+)
+def order_of_forecasts(spark, folder):
+    return _numbered(inventory_positioning(raw_demand(spark, folder), AS_OF).select("product_id"))
+
+
 @register(
     "f2_descending_sort",
     RAW
@@ -176,6 +206,17 @@ def custom_rank_sort(spark, folder):
     return _ranked_risk(spark, folder)
 
 
+@register(
+    "f3_row_order",
+    TRENDS
+    + BODY
+    + """SELECT row_number() OVER (ORDER BY stockout_risk_level, demand_acceleration DESC NULLS LAST, product_id, warehouse) - 1 AS place,
+    product_id, warehouse FROM scored WHERE stockout_risk_level IN ('CRITICAL', 'HIGH')""",
+)
+def order_of_risks(spark, folder):
+    return _numbered(_ranked_risk(spark, folder).select("product_id", "warehouse"))
+
+
 @register("f4_sorted_limit", TRENDS + BODY + RANKED + " LIMIT 50", "demand_acceleration")
 def sorted_limit(spark, folder):
     return _ranked_risk(spark, folder).limit(50)

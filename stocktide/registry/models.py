@@ -32,10 +32,27 @@ from ..session import materialize
 from ..settings import DEFAULTS
 from ..sources.demand import demand_calendar, demand_levels, raw_demand
 from .base import PEAKS, register
-from .ctes import CALENDAR, CALENDAR_NAMES, DOUBLE_FEATURES, FEATURE_TABLE, ONE_HOT_SQL, RAW, ensemble, forecasts
+from .ctes import (
+    CALENDAR,
+    CALENDAR_NAMES,
+    DOUBLE_FEATURES,
+    FEATURE_TABLE,
+    LAG_NAMES,
+    ONE_HOT,
+    ONE_HOT_SQL,
+    PRICE_NAMES,
+    RAW,
+    ROLL_NAMES,
+    ensemble,
+    forecasts,
+)
 from .joins import LONG_HORIZON, PEAK_SQL, both_models
 from .projections import BODY, features_of
 
+# The matrix inputs by name, for the check of its sums.
+MATRIX_INPUTS = ["price", *LAG_NAMES, *ROLL_NAMES, "demand_cv_30d", *(c for c in PRICE_NAMES if c != "demand_change"),
+                 "demand_yoy", "trend_30d", *(c for c in CALENDAR_NAMES), *ONE_HOT]
+
 # Smaller forests than the default, so that a check run ends in seconds.
 QUICK = {"numTrees": 10, "maxDepth": 8}
 
@@ -110,7 +127,14 @@ def split_by_time(spark, folder):
     return add_split_side(raw_demand(spark, folder).select("product_id", "date"))
 
 
-@register("i7_feature_matrix")
+@register(
+    "i7_feature_matrix",
+    FEATURE_TABLE
+    + BODY
+    + f"""SELECT product_id, date, side, CAST(target AS DOUBLE) AS label, {len(MATRIX_INPUTS)} AS n_features,
+    {" + ".join(f'coalesce(CAST("{c}" AS DOUBLE), 0.0)' for c in MATRIX_INPUTS)} AS feature_sum FROM sided""",
+    "feature_sum:4",
+)
 def matrix_rows(spark, folder):
     matrix = stored_matrix(spark, folder)
     values = vector_to_array("features")
@@ -212,12 +236,12 @@ def split_with_gap(spark, folder):
     "i16_min_history",
     RAW
     + BODY
-    + """SELECT product_id, date, units_sold FROM raw_demand WHERE units_sold > 0
-    QUALIFY count(*) OVER (PARTITION BY product_id) >= 350""",
+    + """SELECT product_id, date, units_sold FROM raw_demand
+    QUALIFY count(*) OVER (PARTITION BY product_id) >= 90""",
 )
 def min_history(spark, folder):
-    sold = raw_demand(spark, folder).where(F.col("units_sold") > 0)
-    return with_min_history(sold, 350).select("product_id", "date", "units_sold")
+    kept = with_min_history(raw_demand(spark, folder), DEFAULTS.min_history_days)
+    return kept.select("product_id", "date", "units_sold")
 
 
 @register(

@@ -13,21 +13,21 @@ from ..functions.numeric import (
     pct_change,
     positive_or_one,
     ratio,
+    round_half_up,
     zero_to_null,
 )
-from ..operators.prep import add_target, drop_short_history, feature_columns, feature_groups
+from ..operators.prep import CALENDAR_GROUP, add_target, drop_short_history, feature_columns, feature_groups
 from ..operators.scores import mape
 from ..operators.selection import first_products, keep_products
 from ..operators.series import add_lags, add_price_change, add_rolling, by_product
 from ..operators.simple_ar import simple_ar
 from ..plans.features import feature_table
-from ..plans.reports import demand_trends, demand_profile, inventory_positioning, promo_rows, risk_scores
-from ..settings import NON_FEATURE_COLUMNS
+from ..plans.reports import demand_trends, demand_profile, promo_rows, risk_scores
+from ..settings import DEFAULTS, NON_FEATURE_COLUMNS, StockSettings
 from ..sources.demand import add_partition_keys, add_revenue, demand_calendar, demand_levels, raw_demand
-from .base import AS_OF, MIN_YEAR, register
+from .base import AS_OF, MIN_YEAR, register, rnd
 from .ctes import (
     AS_OF_SQL,
-    CALENDAR_NAMES,
     FEATURE_TABLE,
     LAG_NAMES,
     ONE_HOT,
@@ -38,22 +38,26 @@ from .ctes import (
 
 BODY = "--body\n"
 
+# Two sums per product are joined to the monthly figures, and the level is looked
+# up as the first row of a table whose conditions hold.
 TRENDS = (
     RAW.rstrip()
     + f""",
-trends AS (
-  SELECT product_id, category, warehouse,
-         CAST(sum(CASE WHEN date >= {AS_OF_SQL} - 7 THEN units_sold ELSE 0 END) AS BIGINT) AS demand_last_7d,
-         CAST(sum(CASE WHEN date >= {AS_OF_SQL} - 14 AND date < {AS_OF_SQL} - 7 THEN units_sold ELSE 0 END) AS BIGINT) AS demand_prior_7d,
-         avg(units_sold) AS avg_daily_30d, stddev_samp(units_sold) / nullif(avg(units_sold), 0) AS demand_cv
-  FROM raw_demand WHERE date >= {AS_OF_SQL} - 30 GROUP BY 1, 2, 3),
-scored AS (
-  SELECT *, CAST(demand_last_7d AS DOUBLE) / nullif(demand_prior_7d, 0) AS demand_acceleration,
-         14.0::DOUBLE * avg_daily_30d / nullif(demand_last_7d / 7.0::DOUBLE, 0) AS estimated_days_of_supply,
-         CASE WHEN demand_last_7d > demand_prior_7d * 1.5::DOUBLE THEN 'CRITICAL'
-              WHEN demand_last_7d > demand_prior_7d * 1.2::DOUBLE THEN 'HIGH'
-              WHEN demand_cv > 0.5 THEN 'MEDIUM' ELSE 'LOW' END AS stockout_risk_level
-  FROM trends)
+aged AS (SELECT *, date_diff('day', date, {AS_OF_SQL}) AS age FROM raw_demand WHERE date_diff('day', date, {AS_OF_SQL}) <= 30),
+monthly AS (SELECT product_id, any_value(category) AS category, any_value(warehouse) AS warehouse, avg(units_sold) AS avg_daily_30d,
+  sqrt(var_samp(units_sold)) / nullif(avg(units_sold), 0) AS demand_cv FROM aged GROUP BY product_id),
+by_week AS (SELECT product_id, age <= 7 AS newest, CAST(sum(units_sold) AS BIGINT) AS units FROM aged WHERE age <= 14 GROUP BY ALL),
+trends AS (SELECT m.*, coalesce(n.units, 0) AS demand_last_7d, coalesce(o.units, 0) AS demand_prior_7d FROM monthly m
+  LEFT JOIN by_week n ON n.product_id = m.product_id AND n.newest
+  LEFT JOIN by_week o ON o.product_id = m.product_id AND NOT o.newest),
+risk_levels(place, level, over_ratio, over_cv) AS (
+  VALUES (1, 'CRITICAL', 1.5::DOUBLE, NULL), (2, 'HIGH', 1.2::DOUBLE, NULL), (3, 'MEDIUM', NULL, 0.5::DOUBLE), (4, 'LOW', NULL, NULL)),
+scored AS (SELECT t.product_id, t.category, t.warehouse, t.demand_last_7d, t.demand_prior_7d, t.avg_daily_30d, t.demand_cv,
+  t.demand_last_7d / nullif(CAST(t.demand_prior_7d AS DOUBLE), 0) AS demand_acceleration,
+  t.avg_daily_30d * 14 / nullif(t.demand_last_7d / 7.0::DOUBLE, 0) AS estimated_days_of_supply,
+  arg_min(l.level, l.place) AS stockout_risk_level
+  FROM trends t JOIN risk_levels l ON (l.over_ratio IS NULL OR t.demand_last_7d > t.demand_prior_7d * l.over_ratio)
+    AND (l.over_cv IS NULL OR t.demand_cv > l.over_cv) GROUP BY ALL)
 """
 )
 TREND_DOUBLES = "avg_daily_30d demand_cv"
@@ -242,24 +246,50 @@ def searched_case(spark, folder):
     )
 
 
+# Margin lift by strategy, and the tier that a strategy serves.
+STRATEGY_ROWS = "('A', 'FORWARD-STOCK', 0.15::DOUBLE), ('B', 'REGIONAL-HUB', 0.12::DOUBLE), ('C', 'CENTRAL-CONSOLIDATE', 0.08::DOUBLE)"
+
+
+def positions(s: StockSettings = DEFAULTS.stock) -> str:
+    """CTE ``costed``: tiers and strategies are rows that are joined by threshold."""
+    return (
+        RAW.rstrip()
+        + f""",
+quarter AS (SELECT product_id, any_value(category) AS category, any_value(warehouse) AS warehouse, any_value(region) AS region,
+  avg(units_sold) AS daily, sqrt(var_samp(units_sold)) AS std, max(units_sold) AS peak_demand
+  FROM raw_demand WHERE date_diff('day', date, {AS_OF_SQL}) <= 90 GROUP BY product_id),
+fortnight AS (SELECT product_id, avg(units_sold) * 30 AS forecast FROM raw_demand
+  WHERE date_diff('day', date, {AS_OF_SQL}) <= 14 GROUP BY product_id),
+tiers(tier, least) AS (VALUES ('A', {s.tier_a_mean}::DOUBLE), ('B', {s.tier_b_mean}::DOUBLE), ('C', -1.0::DOUBLE)),
+strategies(tier, strategy, lift) AS (VALUES {STRATEGY_ROWS}),
+tiered AS (SELECT q.product_id, arg_max(t.tier, t.least) AS abc_tier FROM quarter q JOIN tiers t ON q.daily >= t.least GROUP BY 1),
+costed AS (
+  SELECT q.*, f.forecast, t.abc_tier, sqrt(7.0::DOUBLE) * q.std * 1.65::DOUBLE AS safety,
+         7 * q.daily + sqrt(7.0::DOUBLE) * q.std * 1.65::DOUBLE AS reorder,
+         CASE WHEN q.daily <> 0 THEN sqrt(2 * 365 * 25 * q.daily / (0.02::DOUBLE * 45 * q.daily)) END AS eoq,
+         coalesce(s.strategy, 'MAKE-TO-ORDER') AS stocking_strategy,
+         coalesce({rnd('f.forecast', 0)} * 45 * s.lift, 0.0::DOUBLE) AS margin
+  FROM quarter q JOIN tiered t USING (product_id) LEFT JOIN fortnight f USING (product_id)
+  LEFT JOIN strategies s ON s.tier = t.abc_tier AND NOT coalesce(q.std / nullif(q.daily, 0) > {s.make_to_order_cv}::DOUBLE, false))
+"""
+    )
+
+
+# Thresholds that part the given tables into all tiers and strategies.
+CHECK_STOCK = StockSettings(tier_a_mean=5.0, tier_b_mean=3.0, make_to_order_cv=3.0)
+
+
 @register(
     "b16_simple_case",
-    RAW.rstrip()
-    + f""",
-recent AS (SELECT product_id, avg(units_sold) AS daily, stddev_samp(units_sold) AS std,
-  avg(CASE WHEN date >= {AS_OF_SQL} - 14 THEN units_sold END) * 30 AS forecast
-  FROM raw_demand WHERE date >= {AS_OF_SQL} - 90 GROUP BY 1),
-plan AS (SELECT product_id, floor(forecast + 0.5) AS units,
-  CASE WHEN std / nullif(daily, 0) > 0.8 THEN 'MAKE-TO-ORDER' WHEN daily >= 200 THEN 'FORWARD-STOCK'
-       WHEN daily >= 50 THEN 'REGIONAL-HUB' ELSE 'CENTRAL-CONSOLIDATE' END AS stocking_strategy FROM recent)
-{BODY}SELECT product_id, stocking_strategy, CASE stocking_strategy WHEN 'FORWARD-STOCK' THEN units * 45 * 0.15::DOUBLE
-  WHEN 'REGIONAL-HUB' THEN units * 45 * 0.12::DOUBLE WHEN 'CENTRAL-CONSOLIDATE' THEN units * 45 * 0.08::DOUBLE
-  ELSE 0 END AS estimated_monthly_margin_impact FROM plan""",
-    "estimated_monthly_margin_impact:0",
+    positions(CHECK_STOCK) + BODY + "SELECT product_id, stocking_strategy, margin AS estimated_monthly_margin_impact FROM costed",
+    "estimated_monthly_margin_impact:2",
 )
 def simple_case(spark, folder):
-    return inventory_positioning(demand(spark, folder), AS_OF).select(
-        "product_id", "stocking_strategy", "estimated_monthly_margin_impact"
+    profile = demand_profile(demand(spark, folder), AS_OF)
+    strategy = m.stocking_strategy(F.col("daily"), F.col("std"), CHECK_STOCK)
+    margin = m.margin_impact(F.col("stocking_strategy"), round_half_up(F.col("forecast"), 0), CHECK_STOCK)
+    return profile.withColumn("stocking_strategy", strategy).select(
+        "product_id", "stocking_strategy", margin.alias("estimated_monthly_margin_impact")
     )
 
 
@@ -299,7 +329,7 @@ def columns_by_type(spark, folder):
 _GROUPS = {
     "lag": LAG_NAMES,
     "rolling": ROLL_NAMES,
-    "calendar": [c for c in CALENDAR_NAMES if c not in ("day_of_month", "days_to_holiday", "is_holiday_week")],
+    "calendar": CALENDAR_GROUP,
     "price": ["price", "price_change_pct", "price_vs_avg_30d", "price_demand_corr_30d", "is_promo", "days_since_promo"],
     "trend": ["demand_yoy", "trend_30d"],
     "one_hot": list(ONE_HOT),

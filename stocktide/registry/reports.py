@@ -13,7 +13,7 @@ from ..sources.demand import raw_demand
 from .base import AS_OF, MIN_YEAR, register, rnd
 from .ctes import AS_OF_SQL, RAW, ensemble
 from .joins import both_models
-from .projections import BODY, PROMO, TRENDS
+from .projections import BODY, CHECK_STOCK, PROMO, TRENDS, positions
 from .scans import WEEKLY_DOUBLES, WEEKLY_SQL
 
 YEARS = (
@@ -32,29 +32,7 @@ years AS (SELECT cur.category, cur.region, cur.units AS current_units, pre.units
 """
 )
 
-POSITIONS = (
-    RAW.rstrip()
-    + f""",
-profile AS (
-  SELECT product_id, category, warehouse, region, avg(units_sold) AS daily, stddev_samp(units_sold) AS std,
-         quantile_disc(units_sold, 0.95) AS p95_demand, max(units_sold) AS peak_demand,
-         avg(units_sold) FILTER (WHERE date >= {AS_OF_SQL} - 14) * 30 AS forecast
-  FROM raw_demand WHERE date >= {AS_OF_SQL} - 90 GROUP BY 1, 2, 3, 4),
-positions AS (
-  SELECT *, 1.65::DOUBLE * std * sqrt(7.0::DOUBLE) AS safety,
-         daily * 7 + 1.65::DOUBLE * std * sqrt(7.0::DOUBLE) AS reorder,
-         sqrt(2.0::DOUBLE * daily * 365 * 25 / nullif(0.02::DOUBLE * daily * 45, 0)) AS eoq,
-         CASE WHEN daily >= 200 THEN 'A' WHEN daily >= 50 THEN 'B' ELSE 'C' END AS abc_tier,
-         CASE WHEN std / nullif(daily, 0) > 0.8 THEN 'MAKE-TO-ORDER' WHEN daily >= 200 THEN 'FORWARD-STOCK'
-              WHEN daily >= 50 THEN 'REGIONAL-HUB' ELSE 'CENTRAL-CONSOLIDATE' END AS stocking_strategy
-  FROM profile),
-costed AS (
-  SELECT *, CASE stocking_strategy WHEN 'FORWARD-STOCK' THEN {rnd('forecast', 0)} * 45 * 0.15::DOUBLE
-    WHEN 'REGIONAL-HUB' THEN {rnd('forecast', 0)} * 45 * 0.12::DOUBLE
-    WHEN 'CENTRAL-CONSOLIDATE' THEN {rnd('forecast', 0)} * 45 * 0.08::DOUBLE ELSE 0.0 END AS margin
-  FROM positions)
-"""
-)
+POSITIONS = positions()
 
 LIFTS = (
     PROMO.rstrip()
@@ -145,16 +123,20 @@ def _trend_measure(name, column, measure, doubles=""):
         return trends.select("product_id", "warehouse", measure().alias(column))
 
 
-def _position_measure(name, column, measure, sql, doubles=""):
-    @register(name, POSITIONS + BODY + f"SELECT product_id, warehouse, {sql} AS {column} FROM costed", doubles)
+def _position_measure(name, column, measure, sql, doubles="", blocks=POSITIONS):
+    @register(name, blocks + BODY + f"SELECT product_id, warehouse, {sql} AS {column} FROM costed", doubles)
     def run(spark, folder):
         profile = r.demand_profile(raw_demand(spark, folder), AS_OF)
         return profile.select("product_id", "warehouse", measure().alias(column))
 
 
 def _margin():
-    strategy = m.stocking_strategy(F.col("daily"), F.col("std"))
-    return m.margin_impact(strategy, round_half_up(F.col("forecast"), 0))
+    strategy = m.stocking_strategy(F.col("daily"), F.col("std"), CHECK_STOCK)
+    return m.margin_impact(strategy, round_half_up(F.col("forecast"), 0), CHECK_STOCK)
+
+
+# The next three use thresholds that part the given tables, as the defaults give one tier there.
+_PARTED = positions(CHECK_STOCK)
 
 
 _trend_measure(
@@ -182,11 +164,15 @@ _position_measure(
 _position_measure(
     "j13_order_quantity", "order_quantity", lambda: m.economic_order_quantity(F.col("daily")), "eoq", "order_quantity"
 )
-_position_measure("j14_abc_tier", "tier", lambda: m.abc_tier(F.col("daily")), "abc_tier")
+_position_measure("j14_abc_tier", "tier", lambda: m.abc_tier(F.col("daily"), CHECK_STOCK), "abc_tier", blocks=_PARTED)
 _position_measure(
-    "j15_stocking_strategy", "strategy", lambda: m.stocking_strategy(F.col("daily"), F.col("std")), "stocking_strategy"
+    "j15_stocking_strategy",
+    "strategy",
+    lambda: m.stocking_strategy(F.col("daily"), F.col("std"), CHECK_STOCK),
+    "stocking_strategy",
+    blocks=_PARTED,
 )
-_position_measure("j16_margin_impact", "margin_impact", _margin, "margin", "margin_impact:2")
+_position_measure("j16_margin_impact", "margin_impact", _margin, "margin", "margin_impact:2", _PARTED)
 
 
 @register(
@@ -215,13 +201,11 @@ def promo_measures(spark, folder):
     TRENDS
     + BODY
     + f"""SELECT 'stockout_' || lower(stockout_risk_level) AS alert, product_id AS subject, {AS_OF_SQL} AS date,
-    CAST(demand_last_7d AS DOUBLE) AS value, CAST(demand_prior_7d AS DOUBLE) AS threshold FROM (
-      SELECT * FROM scored WHERE stockout_risk_level IN ('CRITICAL', 'HIGH')
-      ORDER BY CASE stockout_risk_level WHEN 'CRITICAL' THEN 1 ELSE 2 END, demand_acceleration DESC NULLS LAST, product_id, warehouse
-      LIMIT 50)""",
+    CAST(demand_last_7d AS DOUBLE) AS value, CAST(demand_prior_7d AS DOUBLE) AS threshold
+    FROM scored WHERE stockout_risk_level IN ('CRITICAL', 'HIGH')""",
 )
 def alerts_of_stockout(spark, folder):
-    return stockout_alerts(r.stockout_risk(raw_demand(spark, folder), AS_OF), AS_OF)
+    return stockout_alerts(r.risk_scores(r.demand_trends(raw_demand(spark, folder), AS_OF)), AS_OF)
 
 
 @register(

@@ -34,7 +34,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     known = spark.sparkContext.getCheckpointDir()
     if known:

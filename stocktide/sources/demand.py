@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators.prep import ONE_HOT_PREFIXES, levels_of
+from ..session import materialize
 from .tables import read_table
 
 
@@ -121,9 +122,13 @@ def add_partition_keys(df: DataFrame) -> DataFrame:
 
 
 def assemble(lines: DataFrame, parts: DataFrame, regions: DataFrame) -> DataFrame:
-    """The whole fact with product attributes, revenue and partition keys."""
-    span = sale_span(lines)
-    sales = daily_sales(lines, parts)
+    """The whole fact with product attributes, revenue and partition keys.
+
+    The daily sums are written once: the order lines are read for them alone,
+    and the first and last day come from the sums.
+    """
+    sales = materialize(daily_sales(lines, parts), "daily_sales")
+    span = sales.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
     filled = fill_days(sales, span.select("first_day").scalar(), span.select("last_day").scalar())
     fact = _add_region(filled, regions).select(
         "product_id", "date", "units_sold", "price", "category", "warehouse", "region"

@@ -44,6 +44,16 @@ def test_numbers(spark):
     }
 
 
+def test_tiers_strategies_and_margins(spark):
+    tier = [one(spark, t=measures.abc_tier(F.lit(x))).t for x in (200.0, 199.9, 50.0, 49.9)]
+    assert tier == ["A", "B", "B", "C"]
+    cases = [(200.0, 160.0), (200.0, 160.1), (50.0, 40.0), (49.0, 1.0), (0.0, 0.0)]
+    strategies = [one(spark, s=measures.stocking_strategy(F.lit(d), F.lit(x))).s for d, x in cases]
+    assert strategies == ["FORWARD-STOCK", "MAKE-TO-ORDER", "REGIONAL-HUB", "CENTRAL-CONSOLIDATE", "CENTRAL-CONSOLIDATE"]
+    margins = [one(spark, m=measures.margin_impact(F.lit(s), F.lit(100.0))).m for s in (*measures.MARGIN_LIFT, "MAKE-TO-ORDER")]
+    assert [round(x, 6) for x in margins] == [675.0, 540.0, 360.0, 0.0]
+
+
 def test_dates(spark):
     row = one(
         spark,

@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +47,17 @@ def from_bytes(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(pa.py_buffer(data)).read_all()
 
 
+def shrink(values: np.ndarray) -> bytes:
+    """Non-negative numbers as compressed byte planes; counts are mostly 1, so nearly all planes are zeros."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+
+
+def grow(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
 def write_blocks(df: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``df`` packed into blocks of about ``block_bytes`` of text, written as a table.
 
@@ -96,7 +108,7 @@ def deal(block: int, keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray, f
             "bucket": pa.array([first + int(bucket[s]) for s in starts], pa.int64()),
             "block": pa.array([block] * len(starts), pa.int64()),
             "keys": pa.array([keys[s:e].astype("<u8").tobytes() for s, e in zip(starts, ends)], pa.binary()),
-            "counts": pa.array([counts[s:e].astype("<u4").tobytes() for s, e in zip(starts, ends)], pa.binary()),
+            "counts": pa.array([shrink(counts[s:e]) for s, e in zip(starts, ends)], pa.binary()),
         }
     )
 
@@ -126,7 +138,7 @@ def totals(tallies: DataFrame) -> DataFrame:
     def add(table: pa.Table) -> pa.Table:
         sizes = [len(x) // 8 for x in table["keys"].to_pylist()]
         keys = np.concatenate([np.frombuffer(x, "<u8") for x in table["keys"].to_pylist()])
-        counts = np.concatenate([np.frombuffer(x, "<u4") for x in table["counts"].to_pylist()])
+        counts = np.concatenate([grow(x) for x in table["counts"].to_pylist()])
         values, place = np.unique(keys, return_inverse=True)
         sums = np.bincount(place, weights=counts, minlength=len(values)).astype("<i8")
         answers = np.split(sums[place], np.cumsum(sizes)[:-1])
@@ -135,7 +147,7 @@ def totals(tallies: DataFrame) -> DataFrame:
             {
                 "bucket": table["bucket"],
                 "block": table["block"],
-                "totals": pa.array([x.tobytes() for x in answers], pa.binary()),
+                "totals": pa.array([shrink(x) for x in answers], pa.binary()),
                 "types": pa.array([int((sums > 0).sum()), *rest], pa.int64()),
                 "tokens": pa.array([int(sums.sum()), *rest], pa.int64()),
             }
@@ -150,7 +162,7 @@ def beside_blocks(blocks: DataFrame, answers: DataFrame, work: Callable[[int, pa
     def one(left: pa.Table, right: pa.Table) -> pa.Table:
         order = np.argsort(right["bucket"].to_numpy())
         parts = right["totals"].to_pylist()
-        values = np.concatenate([np.frombuffer(parts[i], "<i8") for i in order]) if len(order) else np.empty(0, np.int64)
+        values = np.concatenate([grow(parts[i]) for i in order]) if len(order) else np.empty(0, np.int64)
         return work(left["block"][0].as_py(), from_bytes(left["data"][0].as_py()), values)
 
     return (

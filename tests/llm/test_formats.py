@@ -115,11 +115,17 @@ def test_rules_against_brute_force(spark):
 
 
 def test_templates_generalise_merge_and_reject(spark):
-    """A host's spam section is known by its blocked pages; its other sections are alike and merge."""
+    """A host's spam section is known by its blocked pages; its other sections are alike and merge.
+
+    Of 50 spam pages 10 are labelled, a smoothed purity of 12/14, which is too little
+    evidence; with 10 more it is 22/24, and the unlabelled ones go as well.
+    """
     rules = [("block", "h.com/spam/1"), ("allow", "h.com/a/1")]
     paths = [f"/{s}/{100 + i}" for s in ("a", "b", "c") for i in range(60)] + [f"/spam/{i}" for i in range(10, 60)] + [f"/slug/{'abcdefghij'[i % 10] * (1 + i // 10)}" for i in range(300)]
-    df = spark.createDataFrame([(i, "http://h.com" + p) for i, p in enumerate(paths)], "page_id long, url string")
-    rows = urls.judge(df, rules).collect()
+    frame_of = lambda paths: spark.createDataFrame([(i, "http://h.com" + p) for i, p in enumerate(paths)], "page_id long, url string")
+    few = urls.judge(frame_of(paths), rules).where("path like '/spam/%'").collect()
+    assert {(r.rule, r.verdict) for r in few} == {("h.com/spam/1", "block"), (None, "allow")}
+    rows = urls.judge(frame_of(paths + [f"/spam/{100 + i}" for i in range(10)]), rules).collect()
     of = {}
     for r in rows:
         of.setdefault(r.path.split("/")[1], set()).add((r.template, r.verdict))

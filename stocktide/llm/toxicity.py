@@ -223,5 +223,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fit_rows: int
     rows.sort(key=lambda r: (r["place"], str(r["__id"])))
     x = np.array([r["x"] for r in rows], float).reshape(-1, FEATURES)
     y = np.array([r["label"] for r in rows], float)
-    model.network = fit_network(x, y if grams else np.full(len(y), y.mean() if len(y) else 0.5), hidden=12, steps=2000)
+    model.network = fit_network(x, y, hidden=12, steps=2000)
+    if not grams:
+        share = sample.agg(F.avg("label")).first()[0]
+        model.network.constant = 0.5 if share is None else float(share)
     return model

@@ -51,12 +51,12 @@ def valid(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
-def encode(vectors: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def encode(vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Codes (packed 64-bit words), and for each vector its distance from the centre, the code's own inner product, and its inner product with the centre."""
     dim = vectors.shape[1]
     residual = vectors - centre
     length = np.linalg.norm(residual, axis=1)
-    unit = residual / np.maximum(length, 1e-300)[:, None] @ rotation(dim)
+    unit = residual / np.maximum(length, 1e-300)[:, None] @ turn
     bits = unit > 0
     own = np.abs(unit).sum(1) / math.sqrt(dim)
     padded = np.zeros((len(bits), -(-dim // 64) * 64), bool)
@@ -64,12 +64,12 @@ def encode(vectors: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.packbits(padded, axis=1, bitorder="little").view("<u8"), length, own, vectors @ centre
 
 
-def bounds(query: np.ndarray, codes: np.ndarray, length: np.ndarray, own: np.ndarray, offset: np.ndarray, centre: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+def bounds(query: np.ndarray, codes: np.ndarray, length: np.ndarray, own: np.ndarray, offset: np.ndarray, centre: np.ndarray, turn: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
     """Estimated inner product of the query with each coded vector, and its error bound."""
     dim = len(query)
     residual = query - centre
     norm = np.linalg.norm(residual)
-    turned = residual @ rotation(dim)
+    turned = residual @ turn
     low = turned.min()
     step = max((turned.max() - low) / ((1 << QUERY_BITS) - 1), 1e-300)
     levels = np.clip(np.floor((turned - low) / step + rng.random(dim)), 0, (1 << QUERY_BITS) - 1).astype(np.uint8)
@@ -119,18 +119,22 @@ def nearest(rows: DataFrame, is_query: Column, k: int = K, key: str = "vec_id",
     met = queries.join(codes, ["dim", "block"]).select("dim", "group_ids", "group_values", "block_ids", "block_values")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turns: dict[int, np.ndarray] = {}
         for batch in batches:
             for i in range(len(batch)):
                 dim = batch.column("dim")[i].as_py()
+                if dim not in turns:
+                    turns[dim] = rotation(dim)
+                turn = turns[dim]
                 read = lambda name: batch.column(name)[i].values.to_numpy(zero_copy_only=False)  # noqa: E731,B023
                 ids, vectors = read("block_ids"), read("block_values").reshape(-1, dim)
                 centre = centres[dim][0]
-                code = encode(vectors, centre)
+                code = encode(vectors, centre, turn)
                 rng = np.random.default_rng(SEED)
                 out: list[tuple[np.ndarray, ...]] = []
                 for q, query in zip(read("group_ids").tolist(), read("group_values").reshape(-1, dim)):
                     others = ids != q
-                    estimate, error = bounds(query, *code, centre, rng)
+                    estimate, error = bounds(query, *code, centre, turn, rng)
                     low = np.where(others, estimate - error, -np.inf)
                     floor = np.partition(low, -k)[-k] if len(low) > k else -np.inf
                     chosen = np.flatnonzero(others & (estimate + error >= floor))

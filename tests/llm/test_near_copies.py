@@ -147,9 +147,10 @@ def test_recall(spark, monkeypatch, dim):
 def test_bounds_hold():
     rng = np.random.default_rng(4)
     vectors, centre = rng.normal(size=(2000, 64)), rng.normal(size=64) * 0.1
-    code = ann.encode(vectors, centre)
+    turn = ann.rotation(64)
+    code = ann.encode(vectors, centre, turn)
     inside = []
     for query in rng.normal(size=(20, 64)):
-        estimate, error = ann.bounds(query, *code, centre, rng)
+        estimate, error = ann.bounds(query, *code, centre, turn, rng)
         inside.append(np.abs(estimate - vectors @ query) <= error)
     assert np.mean(inside) > 0.99

@@ -74,6 +74,13 @@ def product_scores(forecasts: DataFrame) -> DataFrame:
     )
 
 
+def product_results(forecasts: DataFrame, demand: DataFrame) -> DataFrame:
+    """Scores per product with the model that made its forecast and its mean units per day."""
+    means = demand.groupBy("product_id").agg(F.avg("units_sold").alias("mean_demand"))
+    methods = forecasts.groupBy("product_id").agg(F.max("method").alias("method"))
+    return product_scores(forecasts).join(methods, "product_id").join(means, "product_id")
+
+
 def score_summary(forecasts: DataFrame) -> DataFrame:
     """Pooled scores over all points, and mean, best and worst product MAPE.
 

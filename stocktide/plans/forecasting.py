@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.ensemble import FIRST, SECOND, business_impact, ensemble_output
+from ..operators.ensemble import FIRST, SECOND, best_weight, business_impact, ensemble_output, grid_scores, tuning_points
 from ..operators.scores import compare_models, model_scores
 from ..operators.seasonal_arima import forecast_with_fallback
 from ..operators.selection import keep_products, top_products, with_min_history
@@ -28,6 +28,7 @@ def ensemble_run(points: DataFrame, s: DemandSettings = DEFAULTS) -> dict[str, D
     output = ensemble_output(points, "mape", s.ensemble)
     return {
         "output": output,
+        "weight": best_weight(grid_scores(tuning_points(points, s.ensemble), "mape", s.ensemble)),
         "scores": model_scores(output, MODELS | {"ensemble": "ensemble_forecast"}),
         "comparison": compare_models(output, MODELS, "ensemble_forecast"),
         "impact": business_impact(output, s=s.stock),

@@ -8,7 +8,7 @@ from ..functions.numeric import ratio
 from ..operators.ensemble import block_errors
 from ..operators.prep import add_split_side, split_summary
 from ..operators.quantile import date_quantile
-from ..operators.scores import mae, mape, mape_or_zero, median_ape, product_scores, r2, rmse, score_summary
+from ..operators.scores import mae, mape, mape_or_zero, median_ape, product_results, product_scores, r2, rmse, score_summary
 from ..operators.selection import product_volumes
 from ..operators.series import add_lags
 from ..operators.prep import drop_short_history, rank_correlations
@@ -281,6 +281,21 @@ def scores_by_product(spark, folder):
     return product_scores(simple_ar(raw_demand(spark, folder)))
 
 
+@register(
+    "d20_product_results",
+    forecasts().rstrip()
+    + f""",
+means AS (SELECT product_id, avg(units_sold) AS mean_demand FROM raw_demand GROUP BY 1)
+{BODY}SELECT product_id, 'SimpleAR' AS method, any_value(mean_demand) AS mean_demand, count(*) AS n_points,
+  avg(abs((actual - predicted) / nullif(actual, 0))) * 100 AS mape, sqrt(avg(power(actual - predicted, 2))) AS rmse
+  FROM simple_ar JOIN means USING (product_id) GROUP BY 1""",
+    "mape rmse mean_demand",
+)
+def results_by_product(spark, folder):
+    demand = raw_demand(spark, folder)
+    return product_results(simple_ar(demand), demand)
+
+
 @register(
     "d21_block_errors",
     ensemble(LONG_HORIZON) + BODY + "SELECT product_id, block, first_mae, second_mae FROM blocks",

@@ -307,6 +307,16 @@ def forecasts_with_fallback(spark, folder):
     return forecast_with_fallback(raw_demand(spark, folder))
 
 
+@register(
+    "i24_forecast_keys",
+    forecasts() + BODY + "SELECT product_id, date, step, actual, TRUE AS usable FROM simple_ar",
+)
+def forecast_keys(spark, folder):
+    """What SQL can tell of the seasonal forecasts: one for every held-out row, finite and not negative."""
+    usable = F.col("predicted").between(0.0, 1e300) & F.col("method").isin("SARIMA", "SimpleAR")
+    return forecast_with_fallback(raw_demand(spark, folder)).select("product_id", "date", "step", "actual", usable.alias("usable"))
+
+
 @register("i25_weight_grid", ensemble() + BODY + "SELECT weight_pct, score FROM best JOIN grid_scores USING (weight_pct)", "score")
 def weight_grid(spark, folder):
     return best_weight(grid_scores(tuning_points(both_models(spark, folder))))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.calendar import peak_months
 from ..operators.simple_ar import simple_ar
 from ..plans.reports import weekly_demand
+from ..plans.views import create_views
 from ..schema import RAW_DEMAND
 from ..session import new_path
 from ..sources.demand import demand_calendar, raw_demand
@@ -43,6 +44,36 @@ def table_scan(spark, folder):
     )
 
 
+@register(
+    "a1_sql_view",
+    RAW
+    + BODY
+    + """SELECT region, "month", count(*) FILTER (WHERE units_sold = 0) AS idle_days, CAST(sum(units_sold) AS BIGINT) AS units
+    FROM raw_demand WHERE "year" >= 1998 GROUP BY ALL""",
+)
+def sql_view(spark, folder):
+    create_views(raw_demand(spark, folder), AS_OF, MIN_YEAR)
+    return spark.sql(
+        """SELECT region, month, count_if(units_sold = 0) AS idle_days, sum(units_sold) AS units
+        FROM raw_demand WHERE year >= :first_year GROUP BY region, month""",
+        args={"first_year": 1998},
+    )
+
+
+@register(
+    "a1_report_view",
+    RAW
+    + BODY
+    + f"""SELECT region, week_start, count(*) AS products, CAST(sum(weekly_units) AS BIGINT) AS units FROM ({WEEKLY_SQL})
+    GROUP BY ALL""",
+)
+def report_view(spark, folder):
+    create_views(raw_demand(spark, folder), AS_OF, MIN_YEAR)
+    return spark.sql(
+        "SELECT region, week_start, count(*) AS products, sum(weekly_units) AS units FROM weekly_demand GROUP BY region, week_start"
+    )
+
+
 @register(
     "a2_csv_typed",
     RAW

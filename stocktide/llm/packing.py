@@ -38,29 +38,60 @@ from .text import CACHED_WORDS, texts_of
 CAPACITY = 4096
 GRAIN = 64
 END_ID = 2
+#: New words that are encoded in one line, and bytes of text that are looked up at once.
+LINE_WORDS = 200
+GROUP_BYTES = 4 << 20
 
 
-class WordIds(dict):
-    """Ids of white-space separated words, as bytes; the tokenizer never joins text across white space."""
+class WordIds:
+    """Ids of white-space separated words, as bytes; the tokenizer never joins text across white space.
 
-    def __init__(self, path: str):
+    Words are kept in two generations. The older one is dropped when the recent
+    one is full, so memory is bounded and common words stay.
+    """
+
+    def __init__(self, path: str, most: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def of(self, text: bytes) -> bytes:
-        words = text.split()
-        new = [w for w in set(words) if w not in self]
-        if len(self) + len(new) > CACHED_WORDS:
-            self.clear()
-            new = list(set(words))
-        if new:
-            for word, found in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-                self[word] = np.array(found.ids, self.kind).tobytes()
-        return b"".join(map(self.__getitem__, words))
+        self.most, self.recent, self.older = most, {}, {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode new words, many in one line; a token belongs to the word in which it starts."""
+        lines = [words[i : i + LINE_WORDS] for i in range(0, len(words), LINE_WORDS)]
+        found = self.tokenizer.encode_batch([b" ".join(line).decode() for line in lines], add_special_tokens=False)
+        for line, own in zip(lines, found):
+            starts = np.cumsum([0, *(len(w.decode()) + 1 for w in line)])
+            at = np.fromiter((begin for begin, _ in own.offsets), np.int64, len(own.ids))
+            cuts = (np.searchsorted(at, starts) * self.kind.itemsize).tolist()
+            data = np.array(own.ids, self.kind).tobytes()
+            self.recent.update(zip(line, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
+
+    def _group(self, texts: list[bytes]) -> list[bytes]:
+        words = [text.split() for text in texts]
+        missing = set().union(*words).difference(self.recent)
+        known = missing & self.older.keys()
+        self.recent.update((w, self.older[w]) for w in known)
+        if new := list(missing - known):
+            self._learn(new)
+        out = [b"".join(map(self.recent.__getitem__, own)) for own in words]
+        if len(self.recent) >= self.most:
+            self.older, self.recent = self.recent, {}
+        return out
+
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text, in groups of about ``GROUP_BYTES``."""
+        out: list[bytes] = []
+        held, size = [], 0
+        for text in texts:
+            if held and size + len(text) > GROUP_BYTES:
+                out += self._group(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        return out + self._group(held) if held else out
 
 
 def knapsack(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -206,7 +237,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, grain: int =
         for batch in batches:
             for i in range(0, len(batch), 500):
                 some = batch.slice(i, 500)
-                out = [ids.of(t) + end for t in texts_of(some.column(1))]
+                out = [found + end for found in ids.of(texts_of(some.column(1)))]
                 rows = []
                 for data in out:
                     full, rest = divmod(len(data) // ids.kind.itemsize, capacity)

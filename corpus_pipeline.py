@@ -6,8 +6,9 @@ lost executor costs tasks and not stages. All but the last return the columns of
 ``documents``.
 
 1. quality: documents that the classifier rejects go (score below ``MIN_QUALITY``).
-2. near_dedup: of each component of near copies the document with the smallest
-   id stays; rows that repeat an id count as copies.
+2. near_dedup: of each component of near copies one document stays, the one
+   with the smallest id; an id says nothing about copies, so texts that differ
+   stay under one id.
 3. substring_dedup: words under repeated windows go; a document that has words
    and loses all of them goes as well.
 4. decontamination: documents that hold a benchmark item go.
@@ -15,15 +16,16 @@ lost executor costs tasks and not stages. All but the last return the columns of
 
 Defined cases: documents with a null text are scored as empty ones and pass like
 them; a document with a null id counts as one of a component like any other, and
-stays only where no id names the component; without labels nothing is rejected;
-an empty table gives an empty result.
+stays only where the component has no document with an id; of several documents
+of a component with one id, or all without, the first by a digest of the row stays;
+without labels nothing is rejected; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide.llm import decontam, packing, quality, simhash, substrings
@@ -42,13 +44,19 @@ def by_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return docs.select(*COLUMNS).where(model.score("text") >= MIN_QUALITY)
 
 
+def _row_digest() -> Column:
+    """Equal for rows with the same values in all columns only: each value goes in with its length."""
+    value = lambda c: F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string"))
+    return F.sha2(F.concat(*[F.coalesce(value(c), F.lit("-")) for c in COLUMNS]), 256)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each component of near copies."""
-    found = simhash.near_duplicates(docs)
-    ids = found.where("component_id is not null").select(F.col("component_id").alias("doc_id")).distinct()
-    kept = docs.select(*COLUMNS).join(ids, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in COLUMNS[1:]])
-    return kept.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
+    docs = docs.select(*COLUMNS, _row_digest().alias("row"))
+    # Keys that are never null, in the order in which a component keeps its documents.
+    keyed = docs.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row").alias("key"), "text")
+    kept = simhash.near_duplicates(keyed, key="key").select(F.col("component_id.row").alias("row")).distinct()
+    return docs.dropDuplicates(["row"]).join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -133,3 +133,15 @@ def test_pipeline_stages_on_odd_rows(spark, folder):
         for name, stage in corpus_pipeline.STAGES[1:]:
             state = corpus_pipeline.materialize(stage(spark, state, folder), name)
         assert bool(state.count()) == bool(rows)
+
+
+def test_near_dedup_keeps_one_row_of_each_component(spark, folder):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(12)) for x in "abcd")
+    rows = [(None, "a b", None, None, 3), (5, a, "en", "s", 1), (5, b, "en", "s", 2), (3, a, "en", "s", 1), (None, b.upper(), None, None, None)]
+    rows += [(None, c, "de", None, 4), (None, c, "de", None, 4), (6, d, "en", "s", 5), (6, d, "en", "s", 5), (6, d, "en", None, 5), (7, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = [tuple(r) for r in corpus_pipeline.near_dedup(spark, df, folder).collect()]
+    kept = [(None, "a b", None, None, 3), (3, a, "en", "s", 1), (5, b, "en", "s", 2), (None, c, "de", None, 4), (7, None, None, None, None)]
+    one = [r for r in got if r[0] == 6]
+    assert sorted([r for r in got if r[0] != 6], key=str) == sorted(kept, key=str)
+    assert len(one) == 1 and one[0] in rows

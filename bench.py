@@ -70,10 +70,10 @@ def main() -> None:
     matrix = timed("i7_feature_matrix", lambda: materialize(feature_matrix(features, columns), "matrix"))
 
     def train():
-        model = forest.fit_forest(matrix.where("side = 'train'"), numTrees=20, maxDepth=10)
+        model = forest.fit_forest(matrix.where("side = 'train'"))
         return materialize(forest.predict(model, matrix.where("side = 'test'")), "forest")
 
-    second = timed("i8_forest_20_trees", train)
+    second = timed(f"i8_forest_{forest.FOREST.trees}_trees", train)
     timed("i22_simple_ar", lambda: consume(simple_ar(demand)))
     first = timed("i24_forecasts", lambda: materialize(forecast_with_fallback(demand), "arima"))
     points = materialize(align(first, second), "points")

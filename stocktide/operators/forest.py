@@ -16,6 +16,9 @@ from .scores import mae, mape, median_ape, r2, rmse
 
 FOREST = DEFAULTS.forest
 
+#: Bags whose votes are added up in one plan.
+VOTES = 20
+
 # Cumulative Poisson(1) probabilities of 0, 1, 2, .. draws.
 _POISSON_ONE = (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676)
 
@@ -91,21 +94,27 @@ def bag_weight(bag: int, bags: int | None = None) -> Column:
     return F.when(F.pmod(F.xxhash64("product_id", "date", F.lit("out")), F.lit(bags)) == bag, 0.0).otherwise(drawn)
 
 
-def out_of_bag(matrix: DataFrame, bags: int = 10, s: ForestSettings = FOREST, **overrides) -> DataFrame:
-    """All rows with ``predicted``, the mean over the bags that did not draw them."""
-    votes = matrix
+def out_of_bag(matrix: DataFrame, bags: int | None = None, s: ForestSettings = FOREST, **overrides) -> DataFrame:
+    """All rows with ``predicted``, the mean over the bags that did not draw them.
+
+    Without ``bags`` there is one for each tree of the forest. The votes are
+    added up and written after every ``VOTES`` bags, which bounds the plan.
+    """
+    bags = bags or s.trees
+    votes = matrix.withColumns({"_total": F.lit(0.0), "votes": F.lit(0)})
     for bag in range(bags):
-        drawn = materialize(matrix.withColumn("bag_weight", bag_weight(bag, bags)).where("bag_weight > 0"), "bag")
+        drawn = matrix.withColumn("bag_weight", bag_weight(bag, bags)).where("bag_weight > 0")
         model = fit_forest(
             drawn, s, **({"numTrees": 1, "bootstrap": False, "weightCol": "bag_weight", "seed": s.seed + bag} | overrides)
         )
-        voted = model.setPredictionCol(f"_vote{bag}").transform(votes)
-        votes = voted.withColumn(f"_vote{bag}", F.when(bag_weight(bag, bags) == 0, F.col(f"_vote{bag}")))
-    cast = [F.col(f"_vote{bag}") for bag in range(bags)]
-    total = sum((F.coalesce(v, F.lit(0.0)) for v in cast), F.lit(0.0))
-    n = sum((v.isNotNull().cast("int") for v in cast), F.lit(0))
-    judged = votes.withColumn("votes", n)
-    return judged.select("product_id", "date", F.col("label").alias("actual"), (total / F.col("votes")).alias("predicted"), "votes")
+        out = bag_weight(bag, bags) == 0
+        voted = model.setPredictionCol("_vote").transform(votes)
+        votes = voted.withColumns(
+            {"_total": F.col("_total") + F.when(out, F.col("_vote")).otherwise(0.0), "votes": F.col("votes") + out.cast("int")}
+        ).drop("_vote")
+        if (bag + 1) % VOTES == 0:
+            votes = materialize(votes, "votes")
+    return votes.select("product_id", "date", F.col("label").alias("actual"), (F.col("_total") / F.col("votes")).alias("predicted"), "votes")
 
 
 def cross_validate(matrix: DataFrame, labels: DataFrame, folds: int = FOREST.folds, s: ForestSettings = FOREST, **overrides) -> DataFrame:

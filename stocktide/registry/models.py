@@ -53,9 +53,6 @@ from .projections import BODY, features_of
 MATRIX_INPUTS = ["price", *LAG_NAMES, *ROLL_NAMES, "demand_cv_30d", *(c for c in PRICE_NAMES if c != "demand_change"),
                  "demand_yoy", "trend_30d", *(c for c in CALENDAR_NAMES), *ONE_HOT]
 
-# Smaller forests than the default, so that a check run ends in seconds.
-QUICK = {"numTrees": 10, "maxDepth": 8}
-
 _STORED: dict = {}
 
 
@@ -76,9 +73,9 @@ def stored_matrix(spark, folder):
 
 
 def trained(spark, folder):
-    """(model, matrix, input columns) of a quick forest on the training side."""
+    """(model, matrix, input columns) of a forest on the training side."""
     matrix = stored_matrix(spark, folder)
-    model = forest.fit_forest(matrix.where("side = 'train'"), **QUICK)
+    model = forest.fit_forest(matrix.where("side = 'train'"))
     return model, matrix, feature_columns(stored_features(spark, folder))
 
 
@@ -174,7 +171,7 @@ def top_importance(spark, folder):
 @register("i11_out_of_bag")
 def out_of_bag_score(spark, folder):
     matrix = stored_matrix(spark, folder).where("side = 'train'")
-    judged = forest.out_of_bag(matrix, bags=4, maxDepth=5)
+    judged = forest.out_of_bag(matrix)
     return judged.agg(F.count("*").alias("n_rows"), forest.r2("actual", "predicted").alias("oob_r2"))
 
 
@@ -209,7 +206,7 @@ def time_folds(spark, folder):
 def cross_validation(spark, folder):
     matrix = stored_matrix(spark, folder)
     labels = fold_labels(matrix.select("date").distinct())
-    return forest.cross_validate(matrix, labels, numTrees=2, maxDepth=5)
+    return forest.cross_validate(matrix, labels)
 
 
 @register("i14_reduced_inputs")

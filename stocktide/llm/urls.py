@@ -8,7 +8,8 @@ generalised to templates in a tree per host, level by level:
   less than ``MIN_SHARE`` of its pages become ``*``;
 - of the segments left, the largest leads, and those whose pages do not differ
   from its own by a chi-square test (over what follows, and over the labels) are
-  merged with it; the largest of the rest leads next, ``LEADERS`` times.
+  merged with it; the largest of the rest leads next, until none is left. The
+  step before bounds the segments of a node and so the rounds.
 
 A template is rejected if the share of blocked pages among its labelled ones,
 smoothed by ``WEIGHT`` pages of a half, reaches ``PURITY``.
@@ -33,7 +34,6 @@ from stocktide.session import materialize
 DEPTH = 8
 MAX_CHILDREN = 20
 MIN_SHARE = 0.05
-LEADERS = 3
 SIGMAS = 3.0
 WEIGHT = 4.0
 PURITY = 0.9
@@ -91,7 +91,7 @@ def _merge(paths: DataFrame, level: int) -> DataFrame:
     profile = profile.groupBy(*node, "seg", "after", F.col("e.kind").alias("kind")).agg(F.sum("e.n").alias("o")).where("o > 0")
     profile = materialize(profile, "branches")
     merged = None
-    for _ in range(LEADERS):
+    while merged is None or not profile.isEmpty():
         sizes = profile.groupBy(*node, "seg").agg(F.sum("o").alias("child_n"))
         leaders = sizes.groupBy(*node).agg(F.max_by(F.struct("seg", "child_n"), F.struct("child_n", "seg")).alias("l")).select(*node, F.col("l.seg").alias("to"), F.col("l.child_n").alias("lead_n"))
         lead = profile.withColumnRenamed("seg", "to").join(leaders, [*node, "to"]).select(*node, "after", "kind", F.col("o").alias("lead_o"))
@@ -105,7 +105,7 @@ def _merge(paths: DataFrame, level: int) -> DataFrame:
         same = tested.where((F.col("seg") == F.col("to")) | (chi <= free + SIGMAS * F.sqrt(2.0 * free))).select(*node, "seg", "to")
         same = materialize(same, "merged")
         merged = same if merged is None else merged.union(same)
-        profile = profile.join(same, [*node, "seg"], "left_anti")
+        profile = materialize(profile.join(same, [*node, "seg"], "left_anti"), "branches")
     return merged
 
 

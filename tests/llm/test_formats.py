@@ -134,6 +134,18 @@ def test_templates_generalise_merge_and_reject(spark):
     assert of["b"] == of["c"] and of["b"] != of["spam"]
 
 
+def test_sections_beyond_the_third_kind_merge(spark):
+    """Two alike sections with 10 blocked pages each have purity 12/14 apart and 22/24 together."""
+    rules = [("block", "h.com/p/1"), ("block", "h.com/q/1")]
+    paths = ["/x/a-b"] * 70 + ["/y/a_b"] * 60 + ["/z/a.b"] * 50 + [f"/{s}/{n}" for s in "pq" for n in [*range(10, 20), *range(20, 30)]]
+    df = spark.createDataFrame([(i, "http://h.com" + p) for i, p in enumerate(paths)], "page_id long, url string")
+    of = {}
+    for r in urls.judge(df, rules).collect():
+        of.setdefault(r.path[1], set()).add((r.template, r.verdict))
+    assert of["p"] == of["q"] and {v for _, v in of["p"]} == {"block"}
+    assert len({t for s in "xyzp" for t, _ in of[s]}) == 4 and {v for s in "xyz" for _, v in of[s]} == {"allow"}
+
+
 TURNS = [
     (1, 0, "user", "hi"), (1, 1, "assistant", "hello"),
     (2, 0, "user", "hi"), (2, 1, "assistant", "hello"), (2, 2, "user", "more"), (2, 2, "user", "more"),

@@ -10,8 +10,14 @@ by hash, and gets the corpus-wide counts back in the same order:
               -> (block, bucket, totals) -> by block, beside the block's documents
 
 A key that a third of all documents share arrives once per block. Buckets are
-even since they follow a hash of the key, and their number follows the input, so
-that each stays at a few MB.
+even since they follow a hash of the key.
+
+Each block sends a row to nearly every bucket. With blocks and buckets of fixed
+size there would be as many rows as the square of the input, so both grow with
+its square root, from ``BLOCK_BYTES`` and ``BUCKET_BYTES`` at ``BASE_BYTES`` to
+``MOST_GROWTH`` times as much, which still fits a task. Up to 64 times
+``BASE_BYTES`` the rows are in proportion to the input; beyond that they get
+smaller, down to one key a row.
 """
 
 from __future__ import annotations
@@ -29,8 +35,10 @@ from pyspark.sql import functions as F
 
 from stocktide.session import materialize
 
+BASE_BYTES = 1 << 30
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
+MOST_GROWTH = 8
 BLOCK_SCHEMA = "block long, n_bytes long, data binary"
 TALLY_SCHEMA = "bucket long, block long, keys binary, counts binary"
 TOTAL_SCHEMA = "bucket long, block long, totals binary, types long, tokens long"
@@ -58,6 +66,26 @@ def grow(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Keys in order, as their distances."""
+    return shrink(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(grow(data).view("<u8"), dtype=np.uint64)
+
+
+def growth(total: int) -> float:
+    """How many times their base size blocks and buckets have for this many bytes of text."""
+    return min(max(1.0, math.sqrt(total / BASE_BYTES)), MOST_GROWTH)
+
+
+def block_size(df: DataFrame, text: str = "text") -> int:
+    """Bytes of text for a block, from the length of all texts."""
+    total = df.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    return int(BLOCK_BYTES * growth(total))
+
+
 def write_blocks(df: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``df`` packed into blocks of about ``block_bytes`` of text, written as a table.
 
@@ -93,13 +121,13 @@ def write_blocks(df: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYT
 
 
 def bucket_count(blocks: DataFrame) -> int:
-    """So many buckets that each gets the keys of about ``BUCKET_BYTES`` of text."""
+    """So many buckets that each gets the keys of about ``BUCKET_BYTES`` of text, and more with ``growth``."""
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
-    return max(2 * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_BYTES))
+    return max(2 * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / (BUCKET_BYTES * growth(total))))
 
 
 def deal(block: int, keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray, first: int = 0) -> Iterator[pa.RecordBatch]:
-    """Rows of ``TALLY_SCHEMA``, one per bucket; ``bucket`` gives that of each key and ``keys`` come in bucket order."""
+    """Rows of ``TALLY_SCHEMA``, one per bucket; ``bucket`` gives that of each key and ``keys`` come in order of bucket and key."""
     cuts = np.flatnonzero(np.diff(bucket)) + 1
     starts = np.concatenate(([0], cuts)) if len(keys) else cuts
     ends = np.append(cuts, len(keys))
@@ -107,7 +135,7 @@ def deal(block: int, keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray, f
         {
             "bucket": pa.array([first + int(bucket[s]) for s in starts], pa.int64()),
             "block": pa.array([block] * len(starts), pa.int64()),
-            "keys": pa.array([keys[s:e].astype("<u8").tobytes() for s, e in zip(starts, ends)], pa.binary()),
+            "keys": pa.array([pack_keys(keys[s:e]) for s, e in zip(starts, ends)], pa.binary()),
             "counts": pa.array([shrink(counts[s:e]) for s, e in zip(starts, ends)], pa.binary()),
         }
     )
@@ -128,20 +156,27 @@ def distinct_keys(keys: np.ndarray, buckets: int, counted: np.ndarray | None = N
     return values[order], counts[order], bucket[order], back[place]
 
 
-def totals(tallies: DataFrame) -> DataFrame:
+def totals(tallies: DataFrame, owners: bool = False) -> DataFrame:
     """Sums per key over all blocks, sent back to each block in the order it asked (``TOTAL_SCHEMA``).
 
     ``types`` and ``tokens`` hold the number of counted keys of a bucket and
-    their sum, once per bucket and else 0.
+    their sum, once per bucket and else 0. With ``owners`` a total is sent as
+    twice its value, and one more to the first block that asked.
     """
 
     def add(table: pa.Table) -> pa.Table:
-        sizes = [len(x) // 8 for x in table["keys"].to_pylist()]
-        keys = np.concatenate([np.frombuffer(x, "<u8") for x in table["keys"].to_pylist()])
+        table = table.take(pc.sort_indices(table["block"]))
+        parts = [unpack_keys(x) for x in table["keys"].to_pylist()]
+        sizes = list(map(len, parts))
         counts = np.concatenate([grow(x) for x in table["counts"].to_pylist()])
-        values, place = np.unique(keys, return_inverse=True)
-        sums = np.bincount(place, weights=counts, minlength=len(values)).astype("<i8")
-        answers = np.split(sums[place], np.cumsum(sizes)[:-1])
+        values, first, place = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
+        sums = np.zeros(len(values), "<i8")
+        np.add.at(sums, place, counts)
+        sent = sums[place]
+        if owners:
+            sent *= 2
+            sent[first] += 1
+        answers = np.split(sent, np.cumsum(sizes)[:-1])
         rest = [0] * (len(sizes) - 1)
         return pa.table(
             {

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from stocktide.session import materialize
 
-from . import blocks as B
+from .blocks import TALLY_SCHEMA, beside_blocks, block_size, bucket_count, deal, distinct_keys, from_bytes, totals, write_blocks
 from .text import WordHashes, mix, texts_of
 
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -57,8 +57,8 @@ class Tokens:
         self.doc = np.repeat(np.arange(len(words)), self.sizes)
         self.first = context == START
         counted = counted[self.doc]
-        self.words = B.distinct_keys(mix(token), buckets, counted)
-        self.pairs = B.distinct_keys(mix(mix(context) * MULTIPLIER + token), buckets, counted)
+        self.words = distinct_keys(mix(token), buckets, counted)
+        self.pairs = distinct_keys(mix(mix(context) * MULTIPLIER + token), buckets, counted)
 
     def read(self, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Corpus counts of each token, its bigram and its context."""
@@ -121,8 +121,8 @@ def score(docs: DataFrame, train: str = "train", key: str = "doc_id", text: str
     ``base_score`` (additively smoothed unigrams) and ``score``.
     """
     source = docs.select(key, F.coalesce(F.col(train), F.lit(False)).alias("__train"), F.col(text).alias("__text"))
-    blocks = B.write_blocks(source, "__text")
-    buckets = B.bucket_count(blocks)
+    blocks = write_blocks(source, "__text", block_size(source, "__text"))
+    buckets = bucket_count(blocks)
 
     def tokens(table: pa.Table, hashes: WordHashes | None = None) -> tuple[Tokens, np.ndarray]:
         train_rows = table["__train"].to_numpy().astype(bool)
@@ -132,11 +132,11 @@ def score(docs: DataFrame, train: str = "train", key: str = "doc_id", text: str
         hashes = WordHashes()
         for batch in batches:
             for block, data in zip(batch.column("block").to_pylist(), batch.column("data")):
-                own, _ = tokens(B.from_bytes(data.as_py()), hashes)
-                yield from B.deal(block, *own.words[:3])
-                yield from B.deal(block, *own.pairs[:3], first=buckets)
+                own, _ = tokens(from_bytes(data.as_py()), hashes)
+                yield from deal(block, *own.words[:3])
+                yield from deal(block, *own.pairs[:3], first=buckets)
 
-    answers = materialize(B.totals(blocks.select("block", "data").mapInArrow(ask, B.TALLY_SCHEMA)), "lm_counts")
+    answers = materialize(totals(blocks.select("block", "data").mapInArrow(ask, TALLY_SCHEMA)), "lm_counts")
     seen = answers.where(F.col("bucket") < buckets).agg(F.sum("types"), F.sum("tokens")).first()
     types, total = int(seen[0] or 0), int(seen[1] or 0)
     uniform = 1.0 / (types + 1)
@@ -156,7 +156,7 @@ def score(docs: DataFrame, train: str = "train", key: str = "doc_id", text: str
         values, n = np.unique(codes, return_counts=True)
         return pa.table({"code": pa.array(values, pa.int64()), "n": pa.array(n, pa.int64())})
 
-    histogram = B.beside_blocks(blocks, answers, levels, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    histogram = beside_blocks(blocks, answers, levels, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
     code, n = histogram["code"].to_numpy(np.int64), histogram["n"].to_numpy(float)
     back = lambda q: np.where(q == 0, 0.0, 2.0 ** (-(q - 1) / STEPS))
     weights = learn_weights(code >> 20, back(code >> 10 & 1023), back(code & 1023), n, uniform)
@@ -183,4 +183,4 @@ def score(docs: DataFrame, train: str = "train", key: str = "doc_id", text: str
             }
         )
 
-    return B.beside_blocks(blocks, answers, rate, schema)
+    return beside_blocks(blocks, answers, rate, schema)

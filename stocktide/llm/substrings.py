@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import blocks as B
+from .blocks import TALLY_SCHEMA, beside_blocks, block_size, bucket_count, deal, from_bytes, totals, write_blocks
 from .text import WordHashes, mix, rolling, texts_of
 
 WINDOW = 35
@@ -64,18 +64,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", t
     """
     spark = docs.sparkSession
     source = docs.select(key, *keep, F.col(text).alias("__text"))
-    blocks = B.write_blocks(source, "__text")
-    buckets = B.bucket_count(blocks)
+    blocks = write_blocks(source, "__text", block_size(source, "__text"))
+    buckets = bucket_count(blocks)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for block, data in zip(batch.column("block").to_pylist(), batch.column("data")):
-                pair = _windows(texts_of(B.from_bytes(data.as_py())["__text"]), window, hashes)[3]
+                pair = _windows(texts_of(from_bytes(data.as_py())["__text"]), window, hashes)[3]
                 keys, counts, bucket, _ = _distinct(pair, buckets)
-                yield from B.deal(block, keys, counts, bucket)
+                yield from deal(block, keys, counts, bucket)
 
-    answers = B.totals(blocks.select("block", "data").mapInArrow(ask, B.TALLY_SCHEMA))
+    answers = totals(blocks.select("block", "data").mapInArrow(ask, TALLY_SCHEMA))
     result = source.drop("__text").schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in result)
     schema = f"{fields}, n_words long, n_removed long, intervals array<struct<begin:long,end:long>>, kept_text string"
@@ -108,4 +108,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", t
         out = out.append_column("intervals", pa.array(intervals, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))))
         return out.append_column("kept_text", pa.array(kept, pa.string()))
 
-    return B.beside_blocks(blocks, answers, cut, schema)
+    return beside_blocks(blocks, answers, cut, schema)

@@ -22,6 +22,7 @@ empty table; further columns are not read.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -41,25 +42,62 @@ END_ID = 2
 #: New words that are encoded in one line, and bytes of text that are looked up at once.
 LINE_WORDS = 200
 GROUP_BYTES = 4 << 20
+#: Signs at the end of a word, and words that the tokenizer's clean-up leaves as they are: small Latin letters.
+SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
 
 class WordIds:
     """Ids of white-space separated words, as bytes; the tokenizer never joins text across white space.
 
-    Words are kept in two generations. The older one is dropped when the recent
+    It lowers all letters, so A-Z are lowered before. Signs at the end of a word
+    of letters are one part of their own, so the word and the signs are encoded
+    apart. Words are kept in two generations. The older one is dropped when the recent
     one is full, so memory is bounded and common words stay.
     """
 
     def __init__(self, path: str, most: int = CACHED_WORDS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        #: Which ids end a word.
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(self.tokenizer.get_vocab_size())])
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.most, self.recent, self.older = most, {}, {}
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode new words, many in one line; a token belongs to the word in which it starts."""
+    def _learn(self, words: set[bytes]) -> None:
+        """Ids of new words, plain ones without the tokenizer's clean-up."""
+        cut, other = {}, set()
+        for word in words:
+            stem = word.rstrip(SIGNS)
+            if PLAIN.fullmatch(stem):
+                cut[word] = stem
+            else:
+                other.add(word)
+        stems = set(cut.values()).difference(self.recent)
+        known = stems & self.older.keys()
+        self.recent.update((w, self.older[w]) for w in known)
+        tails = {word[len(stem) :] for word, stem in cut.items()}.difference(self.recent, (b"",))
+        self._encode_plain(sorted(stems - known))
+        self._encode(sorted(other | tails))
+        self.recent.update((w, self.recent[s] + self.recent[w[len(s) :]]) for w, s in cut.items() if len(s) < len(w))
+
+    def _encode_plain(self, words: list[bytes]) -> None:
+        """Encode words of letters, many in one line; each has one id that ends it."""
+        lines = [words[i : i + LINE_WORDS] for i in range(0, len(words), LINE_WORDS)]
+        for line, own in zip(lines, self.plain.encode_batch([b" ".join(line).decode() for line in lines], add_special_tokens=False)):
+            ids = np.array(own.ids, self.kind)
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
+            data = ids.tobytes()
+            self.recent.update(zip(line, [data[a:b] for a, b in zip([0, *cuts], cuts)], strict=True))
+
+    def _encode(self, words: list[bytes]) -> None:
+        """Encode words, many in one line; a token belongs to the word in which it starts."""
         lines = [words[i : i + LINE_WORDS] for i in range(0, len(words), LINE_WORDS)]
         found = self.tokenizer.encode_batch([b" ".join(line).decode() for line in lines], add_special_tokens=False)
         for line, own in zip(lines, found):
@@ -70,13 +108,20 @@ class WordIds:
             self.recent.update(zip(line, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
 
     def _group(self, texts: list[bytes]) -> list[bytes]:
-        words = [text.split() for text in texts]
-        missing = set().union(*words).difference(self.recent)
+        """One look-up per word; only words that are not at hand are looked at again."""
+        words = [text.lower().split() for text in texts]
+        found = [list(map(self.recent.get, own)) for own in words]
+        gaps = [(n, [i for i, x in enumerate(f) if x is None]) for n, f in enumerate(found) if None in f]
+        missing = {words[n][i] for n, places in gaps for i in places}
         known = missing & self.older.keys()
         self.recent.update((w, self.older[w]) for w in known)
-        if new := list(missing - known):
+        if new := missing - known:
             self._learn(new)
-        out = [b"".join(map(self.recent.__getitem__, own)) for own in words]
+        for n, places in gaps:
+            own, f = words[n], found[n]
+            for i in places:
+                f[i] = self.recent[own[i]]
+        out = [b"".join(f) for f in found]
         if len(self.recent) >= self.most:
             self.older, self.recent = self.recent, {}
         return out

@@ -71,7 +71,7 @@ def main() -> None:
 
     def train():
         model = forest.fit_forest(matrix.where("side = 'train'"))
-        return materialize(forest.predict(model, matrix.where("side = 'test'")), "forest")
+        return materialize(forest.predict(model, matrix.where("side = 'test'")), "predicted")
 
     second = timed(f"i8_forest_{forest.FOREST.trees}_trees", train)
     timed("i22_simple_ar", lambda: consume(simple_ar(demand)))

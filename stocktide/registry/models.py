@@ -72,11 +72,15 @@ def stored_matrix(spark, folder):
     return _stored(spark, folder, "matrix", lambda: feature_matrix(stored_features(spark, folder)))
 
 
+_FORESTS: dict = {}
+
+
 def trained(spark, folder):
-    """(model, matrix, input columns) of a forest on the training side."""
-    matrix = stored_matrix(spark, folder)
-    model = forest.fit_forest(matrix.where("side = 'train'"))
-    return model, matrix, feature_columns(stored_features(spark, folder))
+    """(forest, matrix, input columns) of a forest on the training side, grown once per application."""
+    matrix, key = stored_matrix(spark, folder), (spark.sparkContext.applicationId, folder)
+    if key not in _FORESTS:
+        _FORESTS[key] = forest.fit_forest(matrix.where("side = 'train'"))
+    return _FORESTS[key], matrix, feature_columns(stored_features(spark, folder))
 
 
 @register(
@@ -170,9 +174,9 @@ def top_importance(spark, folder):
 
 @register("i11_out_of_bag")
 def out_of_bag_score(spark, folder):
-    matrix = stored_matrix(spark, folder).where("side = 'train'")
-    judged = forest.out_of_bag(matrix)
-    return judged.agg(F.count("*").alias("n_rows"), forest.r2("actual", "predicted").alias("oob_r2"))
+    model, matrix, _ = trained(spark, folder)
+    judged = forest.out_of_bag(model, matrix.where("side = 'train'"))
+    return judged.agg(F.count("*").alias("n_rows"), F.count("predicted").alias("n_judged"), forest.r2("actual", "predicted").alias("oob_r2"))
 
 
 @register(

@@ -1,15 +1,12 @@
-import dataclasses
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
-from stocktide.operators import forest, prep, selection
+from stocktide.operators import prep, selection
 from stocktide.operators.calendar import add_peak_flag, peak_months
 from stocktide.plans import reports
 from stocktide.plans.features import feature_table, sided_features, train_and_test
-from stocktide.registry.models import stored_matrix
 from stocktide.sources.demand import add_partition_keys, add_revenue
 
 
@@ -90,41 +87,3 @@ def test_feature_table_and_split(features):
         "trend": 2,
         "one_hot": 3,
     }
-
-
-def test_forest_learns_and_bags_are_left_out(features):
-    sided = sided_features(features)
-    matrix = prep.feature_matrix(sided).cache()
-    columns = prep.feature_columns(sided)
-    model = forest.fit_forest(matrix.where("side = 'train'"), numTrees=5, maxDepth=6)
-    metrics = {r.side: r for r in forest.side_metrics(forest.predict(model, matrix)).collect()}
-    assert metrics["train"].r2 > 0.5 and metrics["test"].mdape is not None
-    ranked = forest.importances(model, columns, matrix)
-    assert ranked.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
-    kept = forest.important_columns(ranked, 0.001)
-    assert 0 < len(kept) < len(columns)
-    judged = forest.out_of_bag(matrix, bags=3, maxDepth=4)
-    assert judged.count() == matrix.count()
-    assert judged.agg(F.min("votes")).first()[0] >= 1 and judged.agg(F.max("votes")).first()[0] <= 3
-    drawn = matrix.select(forest.bag_weight(0).alias("w")).agg(F.avg("w"), F.avg((F.col("w") == 0).cast("int"))).first()
-    assert drawn[0] == pytest.approx(1.0, abs=0.25) and drawn[1] == pytest.approx(0.37, abs=0.1)
-
-
-def test_registered_forests_have_the_default_size(spark, folder, monkeypatch):
-    made, bagged, real, real_bags = [], [], forest.RandomForestRegressor, forest.out_of_bag
-    monkeypatch.setattr(forest, "RandomForestRegressor", lambda **p: made.append(p) or real(**(p | {"numTrees": 1, "maxDepth": 2})))
-    for name in ("i8_forest_forecasts", "i13_cross_validation"):
-        queries()[name](spark, folder)
-    assert {(p["numTrees"], p["maxDepth"]) for p in made} == {(500, 20)} and len(made) == 1 + forest.FOREST.folds
-    monkeypatch.setattr(forest, "out_of_bag", lambda matrix, *a, **k: bagged.append((a, k)) or real_bags(matrix, bags=2))
-    queries()["i11_out_of_bag"](spark, folder)
-    assert bagged == [((), {})]
-
-
-def test_out_of_bag_has_a_bag_for_each_tree(spark, folder, monkeypatch):
-    monkeypatch.setattr(forest, "VOTES", 2)
-    matrix = stored_matrix(spark, folder).where("side = 'train'")
-    judged = forest.out_of_bag(matrix, s=dataclasses.replace(forest.FOREST, trees=3, max_depth=2))
-    out = sum(((forest.bag_weight(bag, 3) == 0).cast("long") for bag in range(3)), F.lit(0))
-    assert judged.agg(F.count("*"), F.sum("votes")).first() == matrix.agg(F.count("*"), F.sum(out)).first()
-    assert judged.where("predicted is null").count() == 0

@@ -47,7 +47,7 @@ MILLION = 1_000_000
 #: One window in so many ends a chunk.
 CHUNK_WORDS = 32
 #: Bytes of chunks that a task adds up before it hands them on.
-DICTIONARY_BYTES = 24 << 20
+DICTIONARY_BYTES = 8 << 20
 #: Signs that end a piece, and how the table below writes them.
 BREAKS, MARK = b".,;:!?\n\x0b\x0c\r", b"."
 FOLDED = bytes(MARK[0] if b in BREAKS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -106,17 +106,17 @@ class Grams:
     """The n-grams of a block of chunks: where they start, their keys, and how often they count."""
 
     def __init__(self, table: pa.Table, hashes: WordHashes, buckets: int, longest: int):
-        chunks = [c.split() for c in texts_of(table["chunk"])]
-        sizes = np.array(list(map(len, chunks)), np.int64)
-        self.words = [w for c in chunks for w in c]
+        texts = texts_of(table["chunk"])
+        sizes = np.array([text.count(b" ") + 1 for text in texts], np.int64)
+        self.words = b" ".join(texts).split(b" ") if texts else []
         self.langs = table["lang"].to_pylist()
-        self.chunk = np.repeat(np.arange(len(chunks)), sizes)
+        self.chunk = np.repeat(np.arange(len(texts)), sizes)
         self.times = table["n"].to_numpy()
         ends = np.cumsum(sizes)
         left = self.left = np.repeat(ends, sizes) - np.arange(len(self.words))
         values = hashes.of(self.words)
         is_word = values != hashes[MARK]
-        seeds = np.array([xxhash.xxh64_intdigest((x or "").encode(), 1) for x in self.langs], np.uint64)[self.chunk] if len(chunks) else values
+        seeds = np.array([xxhash.xxh64_intdigest((x or "").encode(), 1) for x in self.langs], np.uint64)[self.chunk] if texts else values
         #: Per length: starts, distinct keys with counts and buckets in order, and the place of each start among them.
         self.kinds = []
         first, second, good = seeds, ~seeds, np.ones(len(values), bool)
@@ -162,7 +162,8 @@ CANDIDATES = "lang string, phrase string, size int, a long, l long, r long, scor
 
 def candidates(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT, text: str = "text", lang: str = "lang") -> DataFrame:
     """Every phrase of 2 to ``longest`` words that occurs often enough, once; and rows of size 1 without phrase, whose ``a`` add up to the words of a language."""
-    blocks = write_blocks(parse(docs, longest, text, lang), "chunk", block_size(docs, text))
+    # An n-gram of each length starts at nearly every word, so a block takes more memory for its size than one of plain texts.
+    blocks = write_blocks(parse(docs, longest, text, lang), "chunk", block_size(docs, text) // 2)
     buckets = bucket_count(blocks)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

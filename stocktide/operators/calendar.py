@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates
@@ -53,23 +53,51 @@ def holidays_of(calendar: DataFrame) -> DataFrame:
     return years.select(F.explode(us_holidays(F.col("year"))).alias("holiday"))
 
 
-def days_to_nearest(date: Column, events: Column) -> Column:
-    """Smallest absolute number of days from ``date`` to any date of an array."""
-    return F.array_min(F.transform(events, lambda event: F.abs(F.datediff(date, event))))
+#: Days that are searched in one window.
+EVENT_SPAN = 1024
+
+
+def add_days_to_nearest(days: DataFrame, events: DataFrame, event: str = "holiday", name: str = "days_to_holiday") -> DataFrame:
+    """``name``: the smallest number of days between ``date`` and any event, however many there are.
+
+    Days and events lie in one order, cut into spans of ``EVENT_SPAN`` days. The
+    last event before a day and the first after it come from a window over its
+    span, and where the span has none, from the spans before and after, of which
+    one row each is looked at. Null dates and tables without an event give null.
+    """
+    span = lambda c: F.floor(F.unix_date(c) / EVENT_SPAN)
+    known = events.select(F.col(event).cast("date").alias("__event")).where("__event is not null").distinct().withColumn("__span", span("__event"))
+    ends = known.groupBy("__span").agg(F.min("__event").alias("__first"), F.max("__event").alias("__last"))
+    spans = ends.select("__span").union(days.select(span("date"))).distinct().join(ends, "__span", "left")
+    order = Window.orderBy("__span")
+    around = spans.select(
+        "__span",
+        F.max("__last").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
+        F.min("__first").over(order.rowsBetween(1, Window.unboundedFollowing)).alias("__after"),
+    )
+    asked = days.select("date").distinct().where("date is not null").select("date", F.lit(None).cast("date").alias("__event"), span("date").alias("__span"))
+    line = asked.union(known.select("__event", "__event", "__span"))
+    ahead = Window.partitionBy("__span").orderBy("date").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    behind = Window.partitionBy("__span").orderBy("date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    found = line.withColumns({"__last": F.max("__event").over(behind), "__next": F.min("__event").over(ahead)}).where("__event is null")
+    gap = F.least(
+        F.datediff("date", F.coalesce("__last", "__before")),
+        F.datediff(F.coalesce("__next", "__after"), "date"),
+    )
+    nearest = found.join(around, "__span").select("date", gap.alias(name))
+    return days.join(nearest, "date", "left")
 
 
 def calendar_features(calendar: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
     """The ten calendar features for a one-row-per-day table.
 
-    The holiday list travels as one array. Eight holidays a year keep it small
-    for any calendar.
+    The list of holidays may be of any length.
     """
     if holidays is None:
         holidays = holidays_of(calendar)
-    events = holidays.agg(F.array_sort(F.collect_set("holiday"))).scalar()
     date = F.col("date")
     return (
-        calendar.select("date", events.alias("_events"))
+        add_days_to_nearest(calendar.select("date"), holidays)
         .withColumns(
             {
                 "day_of_week": dates.weekday_from_monday(date),
@@ -80,11 +108,9 @@ def calendar_features(calendar: DataFrame, holidays: DataFrame | None = None) ->
                 "is_weekend": flag(dates.is_weekend(date)),
                 "is_month_start": flag(dates.is_month_start(date)),
                 "is_month_end": flag(dates.is_month_end(date)),
-                "days_to_holiday": days_to_nearest(date, F.col("_events")),
             }
         )
         .withColumn("is_holiday_week", flag(F.col("days_to_holiday") <= HOLIDAY_WEEK_DAYS))
-        .drop("_events")
     )
 
 

@@ -25,12 +25,21 @@ def _mean_of_ages(age: Column, first: int, last: int) -> Column:
     return F.avg(F.when(age.between(first, last), F.col("units_sold"))).over(whole)
 
 
+def _short_pattern(age: Column, n_train: Column, step: Column) -> Column:
+    """The training rows of a series with fewer than ``PATTERN_ROWS`` of them, over and over."""
+    row = F.struct((-age).alias("place"), F.col("units_sold").alias("units"))
+    held = F.collect_list(F.when((n_train < PATTERN_ROWS) & (age >= 1), row)).over(Window.partitionBy("product_id"))
+    at = F.when(n_train > 0, F.pmod(step - 1, n_train) + 1)
+    return F.get(F.sort_array(held), (at - 1).cast("int"))["units"]
+
+
 def add_components(series: DataFrame, horizon: int = 30) -> DataFrame:
     """Held-out rows with ``step``, ``actual`` and the three components.
 
     ``growth`` relates the newest 30 training rows to the 30 rows ending 365
     rows earlier; rows before the series start are left out of that mean. With
-    365 training rows or fewer the flat mean stands in for last year.
+    365 training rows or fewer the flat mean stands in for last year. Fewer than
+    seven training rows repeat as they are; without any there is no forecast.
     """
     placed = add_position(series.select("product_id", "date", "units_sold"))
     reach = horizon + YEAR_LAG + LEVEL_ROWS
@@ -39,7 +48,7 @@ def add_components(series: DataFrame, horizon: int = 30) -> DataFrame:
     age = n_train - F.col("nth") + 1
     step = F.col("nth") - n_train
 
-    pattern = F
+    pattern = F.when(n_train < PATTERN_ROWS, _short_pattern(age, n_train, step))
     for back in range(PATTERN_ROWS, horizon + PATTERN_ROWS, PATTERN_ROWS):
         pattern = pattern.when(step <= back, F.lag("units_sold", back).over(by_product()))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import plus_months, since
 from ..operators.calendar import add_peak_flag, calendar_features, peak_months
 from ..operators.ensemble import add_previous_block_errors, align, best_weight, grid_scores, tuning_points
+from ..operators.numbering import add_place
 from ..operators.prep import feature_columns, rank_correlations, target_correlations
 from ..operators.selection import keep_products, top_products
 from ..operators.simple_ar import both_forecasts, recent_level, simple_ar
@@ -143,11 +144,6 @@ def multi_key_sort(spark, folder):
     return weekly_demand(raw_demand(spark, folder), AS_OF, MIN_YEAR).select("product_id", "week_start", "weekly_units")
 
 
-def _numbered(df):
-    """``place`` of each row in the order of a sorted table of few rows."""
-    return materialize(df.coalesce(1).withColumn("place", F.monotonically_increasing_id()), "ordered")
-
-
 @register(
     "f1_row_order",
     RAW
@@ -158,7 +154,7 @@ def _numbered(df):
 )
 def order_of_weeks(spark, folder):
     weeks = weekly_demand(raw_demand(spark, folder), AS_OF, MIN_YEAR)
-    return _numbered(weeks.select("product_id", "week_start"))
+    return add_place(weeks.select("product_id", "week_start"))
 
 
 @register(
@@ -170,7 +166,7 @@ def order_of_weeks(spark, folder):
     FROM raw_demand WHERE date >= {AS_OF_SQL} - 90 GROUP BY 1)""",
 )
 def order_of_forecasts(spark, folder):
-    return _numbered(inventory_positioning(raw_demand(spark, folder), AS_OF).select("product_id"))
+    return add_place(inventory_positioning(raw_demand(spark, folder), AS_OF).select("product_id"))
 
 
 @register(
@@ -214,7 +210,7 @@ def custom_rank_sort(spark, folder):
     product_id, warehouse FROM scored WHERE stockout_risk_level IN ('CRITICAL', 'HIGH')""",
 )
 def order_of_risks(spark, folder):
-    return _numbered(_ranked_risk(spark, folder).select("product_id", "warehouse"))
+    return add_place(_ranked_risk(spark, folder).select("product_id", "warehouse"))
 
 
 @register("f4_sorted_limit", TRENDS + BODY + RANKED + " LIMIT 50", "demand_acceleration")

@@ -27,7 +27,7 @@ from ..operators.seasonal_arima import fit_seasonal_arima, forecast_with_fallbac
 from ..operators.selection import top_products, with_min_history
 from ..operators.simple_ar import add_components, simple_ar
 from ..plans.features import sided_features
-from ..plans.forecasting import MODELS, ensemble_run, product_forecasts
+from ..plans.forecasting import MODELS, ensemble_run, product_forecasts, rolling_forecasts
 from ..session import materialize
 from ..settings import DEFAULTS
 from ..sources.demand import demand_calendar, demand_levels, raw_demand
@@ -416,20 +416,34 @@ def impact(spark, folder):
 _OUTPUT_DOUBLES = f"{FIRST} {SECOND} ensemble_forecast ensemble_error_pct"
 
 
-@register("i31_ensemble_output", ensemble() + BODY + "SELECT * FROM output", _OUTPUT_DOUBLES)
+@register("i31_ensemble_output", ensemble(LONG_HORIZON) + BODY + "SELECT * FROM output", _OUTPUT_DOUBLES)
 def whole_ensemble(spark, folder):
-    return ensemble_output(both_models(spark, folder))
+    """Four blocks per product, so that the adaptive step has verdicts to apply."""
+    return ensemble_output(both_models(spark, folder, LONG_HORIZON))
 
 
 @register("i31_model_ensemble")
 def model_ensemble(spark, folder):
-    """The ensemble of the two fitted models: seasonal model with fallback and forest."""
-    first = forecast_with_fallback(raw_demand(spark, folder))
+    """The ensemble of the two fitted models, over two blocks of 30 days with a fit of the seasonal model before each."""
+    first = rolling_forecasts(raw_demand(spark, folder), origins=2)
     second = forest_forecasts(spark, folder)
     points = materialize(align(first, second), "points")
     return ensemble_run(points)["output"]
 
 
+@register(
+    "i24_rolling_keys",
+    RAW
+    + BODY
+    + """SELECT product_id, date, CAST((60 - age) // 30 AS INTEGER) AS origin, CAST((60 - age) % 30 + 1 AS INTEGER) AS step, units_sold AS actual, TRUE AS usable
+    FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY date DESC) AS age FROM raw_demand) WHERE age <= 60""",
+)
+def rolling_keys(spark, folder):
+    """Which rows two origins of 30 steps forecast; every forecast is finite and not negative."""
+    usable = F.col("predicted").between(0.0, 1e300)
+    return rolling_forecasts(raw_demand(spark, folder), origins=2).select("product_id", "date", "origin", "step", "actual", usable.alias("usable"))
+
+
 @register("i24_top_product_forecasts")
 def top_product_forecasts(spark, folder):
     return product_forecasts(raw_demand(spark, folder), s=DEFAULTS.__class__(min_daily_demand=4.0))

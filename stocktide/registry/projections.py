@@ -40,6 +40,7 @@ BODY = "--body\n"
 
 # Two sums per product are joined to the monthly figures, and the level is looked
 # up as the first row of a table whose conditions hold.
+# The levels' thresholds and the formula for days of supply.
 TRENDS = (
     RAW.rstrip()
     + f""",
@@ -54,7 +55,7 @@ risk_levels(place, level, over_ratio, over_cv) AS (
   VALUES (1, 'CRITICAL', 1.5::DOUBLE, NULL), (2, 'HIGH', 1.2::DOUBLE, NULL), (3, 'MEDIUM', NULL, 0.5::DOUBLE), (4, 'LOW', NULL, NULL)),
 scored AS (SELECT t.product_id, t.category, t.warehouse, t.demand_last_7d, t.demand_prior_7d, t.avg_daily_30d, t.demand_cv,
   t.demand_last_7d / nullif(CAST(t.demand_prior_7d AS DOUBLE), 0) AS demand_acceleration,
-  t.avg_daily_30d * 14 / nullif(t.demand_last_7d / 7.0::DOUBLE, 0) AS estimated_days_of_supply,
+  14.0::DOUBLE * t.avg_daily_30d / nullif(t.demand_last_7d / 7.0::DOUBLE, 0) AS estimated_days_of_supply,
   arg_min(l.level, l.place) AS stockout_risk_level
   FROM trends t JOIN risk_levels l ON (l.over_ratio IS NULL OR t.demand_last_7d > t.demand_prior_7d * l.over_ratio)
     AND (l.over_cv IS NULL OR t.demand_cv > l.over_cv) GROUP BY ALL)
@@ -251,7 +252,10 @@ STRATEGY_ROWS = "('A', 'FORWARD-STOCK', 0.15::DOUBLE), ('B', 'REGIONAL-HUB', 0.1
 
 
 def positions(s: StockSettings = DEFAULTS.stock) -> str:
-    """CTE ``costed``: tiers and strategies are rows that are joined by threshold."""
+    """CTE ``costed``: tiers and strategies are rows that are joined by threshold.
+
+    Fixed values: the formulas for safety stock, reorder point and order quantity.
+    """
     return (
         RAW.rstrip()
         + f""",
@@ -264,9 +268,9 @@ tiers(tier, least) AS (VALUES ('A', {s.tier_a_mean}::DOUBLE), ('B', {s.tier_b_me
 strategies(tier, strategy, lift) AS (VALUES {STRATEGY_ROWS}),
 tiered AS (SELECT q.product_id, arg_max(t.tier, t.least) AS abc_tier FROM quarter q JOIN tiers t ON q.daily >= t.least GROUP BY 1),
 costed AS (
-  SELECT q.*, f.forecast, t.abc_tier, sqrt(7.0::DOUBLE) * q.std * 1.65::DOUBLE AS safety,
-         7 * q.daily + sqrt(7.0::DOUBLE) * q.std * 1.65::DOUBLE AS reorder,
-         CASE WHEN q.daily <> 0 THEN sqrt(2 * 365 * 25 * q.daily / (0.02::DOUBLE * 45 * q.daily)) END AS eoq,
+  SELECT q.*, f.forecast, t.abc_tier, 1.65::DOUBLE * q.std * sqrt(7.0::DOUBLE) AS safety,
+         q.daily * 7 + 1.65::DOUBLE * q.std * sqrt(7.0::DOUBLE) AS reorder,
+         CASE WHEN q.daily <> 0 THEN sqrt(2 * q.daily * 365 * 25 / (0.02::DOUBLE * q.daily * 45)) END AS eoq,
          coalesce(s.strategy, 'MAKE-TO-ORDER') AS stocking_strategy,
          coalesce({rnd('f.forecast', 0)} * 45 * s.lift, 0.0::DOUBLE) AS margin
   FROM quarter q JOIN tiered t USING (product_id) LEFT JOIN fortnight f USING (product_id)

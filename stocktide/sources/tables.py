@@ -26,6 +26,21 @@ def write_by_month(df: DataFrame, path: str) -> None:
     )
 
 
+def replace_months(df: DataFrame, path: str) -> None:
+    """Write the months that ``df`` has rows of, and leave the table's other months as they are.
+
+    A second run over a month replaces that month alone. The option holds for
+    this write, whatever the session's setting is.
+    """
+    (
+        df.hint("rebalance", F.col("year"), F.col("month"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("year", "month")
+        .parquet(path)
+    )
+
+
 def read_by_month(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The partitioned table; ``year`` and ``month`` predicates prune folders."""
     reader = spark.read if schema is None else spark.read.schema(schema)

@@ -15,8 +15,9 @@ query at most. The centre comes from at most ``CENTRE_ROWS`` vectors.
 
 Defined cases: vectors that are null, empty or zero, or hold null or non-finite
 components, take no part, nor do null ids; vectors meet only those of their own
-dimension; of rows with one id the smallest vector counts; equal scores rank by
-id; fewer candidates than k are all returned; further columns are not read.
+dimension; rows with one id are different rows, each a candidate for the others,
+and each a query of its own; equal scores rank by id; fewer candidates than k are
+all returned; further columns are not read.
 """
 
 from __future__ import annotations
@@ -87,26 +88,37 @@ def bounds(query: np.ndarray, codes: np.ndarray, length: np.ndarray, own: np.nda
     return estimate, EPSILON * length * norm * spread
 
 
+def partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of a task's vectors, of any width."""
+    total = None
+    for batch in batches:
+        if len(batch):
+            vectors = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            total = vectors.sum(0) if total is None else total + vectors.sum(0)
+    if total is not None:
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tolist()], pa.list_(pa.float64()))})
+
+
 def nearest(rows: DataFrame, is_query: Column, k: int = K, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``k`` rows nearest to each row where ``is_query`` holds."""
     spark = rows.sparkSession
     values = F.transform(F.col(vector), lambda x: x.cast("double"))
     source = rows.where(F.col(key).isNotNull() & valid(values)).select(F.col(key).cast("long").alias("id"), is_query.alias("q"), values.alias("v"))
-    source = source.groupBy("id", "q").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
-    source = materialize(source, "vectors")
+    # Written, so that row numbers are the same wherever they are read.
+    source = materialize(source.withColumns({"dim": F.size("v"), "row": F.monotonically_increasing_id()}), "vectors")
     centres = {}
     for dim, n in [(r["dim"], r["count"]) for r in source.groupBy("dim").count().collect()]:
-        few = source.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(CENTRE_ROWS)
-        sums = few.agg(*[F.avg(F.col("v")[i]).alias(f"c{i}") for i in range(dim)]).first() if dim <= 4096 else [0.0] * dim
-        centres[dim] = (np.array(list(sums), float), -(-n // BLOCK))
+        few = source.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id", "row").limit(CENTRE_ROWS).select("v")
+        sums = [np.array(r["sums"]) for r in few.mapInArrow(partial_sums, "sums array<double>").collect()]  # one per task
+        centres[dim] = (np.sum(sums, axis=0) / min(n, CENTRE_ROWS), -(-n // BLOCK))
 
     def blob(name: str, blocks: Column, only: Column) -> DataFrame:
         """One row per block: ids and vectors."""
-        part = F.pmod(F.xxhash64("id", F.lit(name)), blocks)
-        chosen = source.where(only).select("dim", part.alias(name), "id", "v")
-        pairs = F.sort_array(F.collect_list(F.struct("id", "v")))
+        part = F.pmod(F.xxhash64("id", "row", F.lit(name)), blocks)
+        chosen = source.where(only).select("dim", part.alias(name), "id", "row", "v")
+        pairs = F.sort_array(F.collect_list(F.struct("id", "row", "v")))
         packed = chosen.groupBy("dim", name).agg(pairs.alias("p"))
-        return packed.select("dim", name, F.col("p.id").alias(f"{name}_ids"), F.flatten("p.v").alias(f"{name}_values"))
+        return packed.select("dim", name, F.col("p.id").alias(f"{name}_ids"), F.col("p.row").alias(f"{name}_rows"), F.flatten("p.v").alias(f"{name}_values"))
 
     parts = F.lit(1).cast("long")
     query_parts = F.lit(1).cast("long")
@@ -116,7 +128,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = K, key: str = "vec_id",
         query_parts = F.when(F.col("dim") == dim, F.lit(max(1, -(-share // QUERY_BLOCK))).cast("long")).otherwise(query_parts)
     codes = blob("block", parts, F.lit(True))
     queries = blob("group", query_parts, F.col("q")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    met = queries.join(codes, ["dim", "block"]).select("dim", "group_ids", "group_values", "block_ids", "block_values")
+    met = queries.join(codes, ["dim", "block"]).select("dim", "group_ids", "group_rows", "group_values", "block_ids", "block_rows", "block_values")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turns: dict[int, np.ndarray] = {}
@@ -127,25 +139,26 @@ def nearest(rows: DataFrame, is_query: Column, k: int = K, key: str = "vec_id",
                     turns[dim] = rotation(dim)
                 turn = turns[dim]
                 read = lambda name: batch.column(name)[i].values.to_numpy(zero_copy_only=False)  # noqa: E731,B023
-                ids, vectors = read("block_ids"), read("block_values").reshape(-1, dim)
+                ids, own_rows, vectors = read("block_ids"), read("block_rows"), read("block_values").reshape(-1, dim)
                 centre = centres[dim][0]
                 code = encode(vectors, centre, turn)
                 rng = np.random.default_rng(SEED)
                 out: list[tuple[np.ndarray, ...]] = []
-                for q, query in zip(read("group_ids").tolist(), read("group_values").reshape(-1, dim)):
-                    others = ids != q
+                for q, row, query in zip(read("group_ids").tolist(), read("group_rows").tolist(), read("group_values").reshape(-1, dim)):
+                    others = own_rows != row
                     estimate, error = bounds(query, *code, centre, turn, rng)
                     low = np.where(others, estimate - error, -np.inf)
                     floor = np.partition(low, -k)[-k] if len(low) > k else -np.inf
                     chosen = np.flatnonzero(others & (estimate + error >= floor))
                     scores = vectors[chosen] @ query
                     best = np.lexsort((ids[chosen], -scores))[:k]
-                    out.append((np.full(len(best), q), ids[chosen][best], scores[best]))
-                query_id, vec_id, score = (np.concatenate(x) for x in zip(*out))
-                yield pa.RecordBatch.from_pydict({"query_id": pa.array(query_id, pa.int64()), "vec_id": pa.array(vec_id, pa.int64()), "score": pa.array(score)})
+                    out.append((np.full(len(best), row), np.full(len(best), q), ids[chosen][best], scores[best]))
+                query_row, query_id, vec_id, score = (np.concatenate(x) for x in zip(*out))
+                numbers = [pa.array(x, pa.int64()) for x in (query_row, query_id, vec_id)]
+                yield pa.RecordBatch.from_arrays([*numbers, pa.array(score)], names=["query_row", "query_id", "vec_id", "score"])
 
     if not centres:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    found = met.mapInArrow(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = met.mapInArrow(search, "query_row long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -17,14 +17,14 @@ document holds.
   shingles has them all in its signature and cannot be missed.
 - Candidates are verified on the shingles themselves, not on hashes.
 
-Items are the query set. They go to the tasks in blocks of at most
-``BLOCK_SHINGLES`` shingles, one pass over the documents per block, so what is
-sent stays bounded whatever the benchmark's size.
-
-Defined cases: text is lower-cased (A-Z) and split at white space; a text of
-fewer words than a shingle is one shingle, which only a text of the same words
-holds; a null or empty item has no shingle and is never found; null and empty
-documents hold nothing; items with one id are searched one by one and the
+Items are the query set. They go to the tasks in blocks of about
+``BLOCK_SHINGLES`` shingles, one pass over the documents per block; items of one
+id stay together. The plan holds the indexes of all blocks.
+
+Defined cases: text is lower-cased (A-Z) and split at white space; an item of
+fewer words than a shingle is one shingle of its own width, which is looked for
+among the documents' runs of as many words; a null or empty item has no shingle
+and is never found; null and empty documents hold nothing; items with one id are searched one by one and the
 largest containment counts; repeated documents give repeated rows; further
 columns are not read.
 """
@@ -52,26 +52,20 @@ BASE = 0xD1342543DE82EF95
 FOUND = "array<struct<item_id:bigint,shared:bigint,size:bigint>>"
 
 
-def shingle_hashes(words: list[bytes], hashes: WordHashes, shingle: int = SHINGLE) -> np.ndarray:
-    """Hashes of all shingles; the last bits of a short text's hash depend on its length."""
-    values = hashes.of(words)
-    if not len(values):
-        return values
-    width = min(shingle, len(values))
-    return mix(rolling(values, width, BASE) + np.uint64(width))
+def shingle_hashes(values: np.ndarray, width: int) -> np.ndarray:
+    """Distinct hashes of all runs of ``width`` words; they depend on the width."""
+    return np.unique(mix(rolling(values, width, BASE) + np.uint64(width)))
 
 
-def shingle_set(words: list[bytes], shingle: int = SHINGLE) -> set[bytes]:
-    if not words:
-        return set()
-    width = min(shingle, len(words))
+def shingle_set(words: list[bytes], width: int) -> set[bytes]:
     return {b" ".join(words[i : i + width]) for i in range(len(words) - width + 1)}
 
 
 @dataclass
 class SizePartition:
-    """Items of about one size: signature hashes in order, and the item of each."""
+    """Items of about one size and one width of shingles: signature hashes in order, and the item of each."""
 
+    width: int
     least: int
     hashes: np.ndarray
     items: np.ndarray
@@ -84,30 +78,34 @@ class ItemIndex:
         self.ids = [i for i, _ in items]
         self.shingle, self.threshold = shingle, threshold
         own = WordHashes()
-        self.sets, entries = [], defaultdict(list)
+        self.sets, self.widths, entries = [], [], defaultdict(list)
         signed = []
         for n, (_, text) in enumerate(items):
             words = text.encode().lower().split()
-            self.sets.append(shingle_set(words, shingle))
-            hashes = np.unique(shingle_hashes(words, own, shingle))
+            width = min(shingle, len(words))
+            self.widths.append(width)
+            self.sets.append(shingle_set(words, width) if words else set())
+            hashes = shingle_hashes(own.of(words), width) if words else np.empty(0, np.uint64)
             signature = hashes[:SIGNATURE]
             signed.append(len(signature))
             if len(hashes):
-                entries[len(hashes).bit_length()].append((len(hashes), signature, n))
+                entries[width, len(hashes).bit_length()].append((len(hashes), signature, n))
         self.signed = np.array(signed, np.int64)
         self.partitions = []
-        for group in entries.values():
+        for (width, _), group in entries.items():
             hashes = np.concatenate([s for _, s, _ in group])
             items_ = np.repeat([n for _, _, n in group], [len(s) for _, s, _ in group])
             order = np.argsort(hashes, kind="stable")
-            self.partitions.append(SizePartition(min(n for n, _, _ in group), hashes[order], items_[order]))
+            self.partitions.append(SizePartition(width, min(n for n, _, _ in group), hashes[order], items_[order]))
 
     def search(self, text: bytes, own: WordHashes) -> list[dict]:
         """Items held by the document to at least the threshold."""
         words = text.lower().split()
-        hashes = np.unique(shingle_hashes(words, own, self.shingle))
+        values = own.of(words)
+        by_width = {width: shingle_hashes(values, width) for width in {part.width for part in self.partitions}}
         counts: Counter = Counter()
         for part in self.partitions:
+            hashes = by_width[part.width]
             if len(hashes) < self.threshold * part.least:
                 continue
             probes = hashes[: np.searchsorted(hashes, part.hashes[-1], "right")]
@@ -117,10 +115,10 @@ class ItemIndex:
         candidates = [n for n, c in counts.items() if c >= max(1, FLOOR * self.signed[n])]
         if not candidates:
             return []
-        held = shingle_set(words, self.shingle)
+        held = {width: shingle_set(words, width) for width in {self.widths[n] for n in candidates}}
         best: dict[int | None, dict] = {}
         for n in candidates:
-            shared, size = len(self.sets[n] & held), len(self.sets[n])
+            shared, size = len(self.sets[n] & held[self.widths[n]]), len(self.sets[n])
             if shared >= self.threshold * size - 1e-9:
                 found = {"item_id": self.ids[n], "shared": shared, "size": size}
                 if self.ids[n] not in best or shared * best[self.ids[n]]["size"] > best[self.ids[n]]["shared"] * size:
@@ -129,11 +127,11 @@ class ItemIndex:
 
 
 def item_blocks(items: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, key: str = "item_id", text: str = "text") -> Iterator[ItemIndex]:
-    """Indexes of the benchmark, block by block; the driver holds one block at a time."""
+    """Indexes of the benchmark, block by block; a block ends where an id does."""
     held, size = [], 0
     for row in items.select(F.col(key).cast("long").alias("i"), F.col(text).alias("t")).where("t is not null").orderBy("i", "t").toLocalIterator():
         words = len(row["t"].split())
-        if held and size + words > BLOCK_SHINGLES:
+        if held and size + words > BLOCK_SHINGLES and row["i"] != held[-1][0]:
             yield ItemIndex(held, shingle, threshold)
             held, size = [], 0
         held.append((row["i"], row["t"]))

@@ -115,8 +115,8 @@ def test_pipeline_stages_against_brute_force(spark, folder):
             assert sorted(r.doc_id for r in rows) == sorted(k for k, (n, m) in gone.items() if m == 0 or m < n)
             assert all(len(r.text.split()) == gone[r.doc_id][0] - gone[r.doc_id][1] for r in rows)
         if name == "decontamination":
-            items = [decontam.shingle_set(r.text.encode().lower().split()) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
-            held = {k: decontam.shingle_set(t.encode().lower().split()) for k, t in before}
+            items = [decontam.shingle_set(r.text.encode().lower().split(), 5) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+            held = {k: decontam.shingle_set(t.encode().lower().split(), 5) for k, t in before}
             bad = {k for k, own in held.items() if any(len(i & own) >= 0.8 * len(i) for i in items)}
             assert {r.doc_id for r in rows} == set(held) - bad
         if name == "packing":

@@ -1,7 +1,9 @@
 """Seconds per headline query, as one JSON line.
 
 The fact is first assembled and written as the partitioned table that the other
-queries read, as a daily run would do; ``ingest`` is the time for that.
+queries read, as a daily run would do; ``ingest`` is the time for that. The forest
+comes last but for the ensemble, which needs it. Each query's seconds go to the
+error stream as it ends, and the JSON line to the output.
 """
 
 from __future__ import annotations
@@ -45,6 +47,7 @@ def main() -> None:
         start = time.perf_counter()
         result = run()
         times[name] = round(time.perf_counter() - start, 3)
+        print(f"{name} {times[name]}", file=sys.stderr, flush=True)
         return result
 
     def ingest():
@@ -69,13 +72,13 @@ def main() -> None:
     timed("f6_top_correlations", lambda: consume(rank_correlations(target_correlations(features, columns), 15)))
     matrix = timed("i7_feature_matrix", lambda: materialize(feature_matrix(features, columns), "matrix"))
 
+    timed("i22_simple_ar", lambda: consume(simple_ar(demand)))
+    first = timed("i24_forecasts", lambda: materialize(forecast_with_fallback(demand), "arima"))
     def train():
         model = forest.fit_forest(matrix.where("side = 'train'"))
         return materialize(forest.predict(model, matrix.where("side = 'test'")), "predicted")
 
     second = timed(f"i8_forest_{forest.FOREST.trees}_trees", train)
-    timed("i22_simple_ar", lambda: consume(simple_ar(demand)))
-    first = timed("i24_forecasts", lambda: materialize(forecast_with_fallback(demand), "arima"))
     points = materialize(align(first, second), "points")
     timed("i31_ensemble", lambda: [consume(df) for df in ensemble_run(points).values()])
 

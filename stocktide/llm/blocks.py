@@ -39,6 +39,7 @@ BASE_BYTES = 1 << 30
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 MOST_GROWTH = 8
+LEAST_BUCKET_BYTES = 1 << 20
 BLOCK_SCHEMA = "block long, n_bytes long, data binary"
 TALLY_SCHEMA = "bucket long, block long, keys binary, counts binary"
 TOTAL_SCHEMA = "bucket long, block long, totals binary, types long, tokens long"
@@ -121,9 +122,13 @@ def write_blocks(df: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYT
 
 
 def bucket_count(blocks: DataFrame) -> int:
-    """So many buckets that each gets the keys of about ``BUCKET_BYTES`` of text, and more with ``growth``."""
+    """So many buckets that each gets the keys of about ``BUCKET_BYTES`` of text, and more with ``growth``.
+
+    A small input is dealt to two buckets a task, but none below ``LEAST_BUCKET_BYTES``.
+    """
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
-    return max(2 * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / (BUCKET_BYTES * growth(total))))
+    tasks = 2 * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(tasks, math.ceil(total / LEAST_BUCKET_BYTES)), math.ceil(total / (BUCKET_BYTES * growth(total))))
 
 
 def deal(block: int, keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray, first: int = 0) -> Iterator[pa.RecordBatch]:

@@ -1,16 +1,19 @@
 """Seasonal autoregression with moving-average terms, per product.
 
 The order is (2,1,2)(1,1,1,7): one plain and one weekly difference, then AR and
-MA terms at lags 1, 2, 7, 8 and 9. The coefficients are found by two-stage
-regression (Hannan and Rissanen 1982) in place of maximum likelihood, with the
-multiplicative constraint between plain and weekly terms relaxed:
+MA terms at lags 1, 2, 7, 8 and 9. The six parameters are found by two-stage
+regression (Hannan and Rissanen 1982) in place of maximum likelihood:
 
 1. a long autoregression gives residuals that stand in for the innovations;
-2. the differenced series is regressed on its own and the residuals' lags.
-
-Spark does all passes over rows: differences and lags are window columns, and a
-regression needs only sums of products per product. Python sees one row of sums
-per product, solves small systems and steps the recursion.
+2. the differenced series is regressed on its own and the residuals' lags. The
+   ten coefficients are functions of the parameters: those at lags 8 and 9 are
+   products of a plain and the weekly one. Damped Gauss-Newton steps find the
+   parameters with the least sum of squares.
+
+Spark does all passes over rows: differences and lags are window columns. The sum
+of squares, its gradient and the step for any parameters follow from the sums of
+products per product, so that Python sees one row of sums per product, whatever
+the number of steps, fits a batch of products at once and steps the recursion.
 """
 
 from __future__ import annotations
@@ -36,8 +39,13 @@ SEASON = 7
 TERM_LAGS = (1, 2, 7, 8, 9)
 LONG_LAGS = 28
 STATE = 9
-PARAMETERS = 2 * len(TERM_LAGS) + 1
+FREE = 6
+#: Those of the lags and the variance.
+PARAMETERS = FREE + 1
 MAX_CONDITION = 1e12
+STEPS = 100
+#: Steps end where no regressor along the parameters correlates more than this with the residuals.
+MAX_SLOPE = 1e-7
 
 _REGRESSORS = [f"z{k}" for k in TERM_LAGS] + [f"e{k}" for k in TERM_LAGS]
 _PAIRS = [(i, j) for i in range(len(_REGRESSORS)) for j in range(i, len(_REGRESSORS))]
@@ -103,6 +111,74 @@ def regression_sums(rows: DataFrame, phi: DataFrame) -> DataFrame:
     )
 
 
+def lag_coefficients(theta: np.ndarray) -> np.ndarray:
+    """Coefficients at ``TERM_LAGS`` of the series, then of the innovations.
+
+    A row of ``theta`` has the two plain and the weekly AR parameter, then those of the MA side.
+    """
+    p1, p2, p7, q1, q2, q7 = theta.T
+    return np.stack([p1, p2, p7, -p1 * p7, -p2 * p7, q1, q2, q7, q1 * q7, q2 * q7], axis=1)
+
+
+def _slopes(theta: np.ndarray) -> np.ndarray:
+    """Derivatives of ``lag_coefficients``: one matrix, lags by parameters, per row."""
+    out = np.zeros((len(theta), 2 * len(TERM_LAGS), FREE))
+    for side, sign in ((0, -1.0), (1, 1.0)):
+        row, at = side * len(TERM_LAGS), side * FREE // 2
+        first, second, weekly = theta[:, at], theta[:, at + 1], theta[:, at + 2]
+        for k in range(3):
+            out[:, row + k, at + k] = 1.0
+        out[:, row + 3, at], out[:, row + 3, at + 2] = sign * weekly, sign * first
+        out[:, row + 4, at + 1], out[:, row + 4, at + 2] = sign * weekly, sign * second
+    return out
+
+
+def _descend(xx: np.ndarray, xz: np.ndarray, zz: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parameters, sum of squares and steepest correlation of each system, by damped Gauss-Newton steps from ``theta``."""
+
+    def loss(at: np.ndarray) -> np.ndarray:
+        b = lag_coefficients(at)
+        return zz - 2 * (b * xz).sum(axis=1) + np.einsum("ni,nij,nj->n", b, xx, b)
+
+    theta, best, damping = theta.copy(), loss(theta), np.full(len(theta), 1e-3)
+    slope = np.full(len(theta), np.inf)
+    for _ in range(STEPS):
+        jacobian = _slopes(theta)
+        normal = np.einsum("nia,nij,njb->nab", jacobian, xx, jacobian)
+        gradient = np.einsum("nia,ni->na", jacobian, xz - np.einsum("nij,nj->ni", xx, lag_coefficients(theta)))
+        scale = np.einsum("naa->na", normal)
+        slope = (np.abs(gradient) / np.sqrt(np.maximum(scale * best[:, None], 1e-300))).max(axis=1)
+        moving = slope > MAX_SLOPE
+        if not moving.any():
+            break
+        normal += np.eye(FREE) * (damping[:, None] * np.maximum(scale, 1e-300))[:, None, :]
+        tried = theta + np.linalg.solve(normal, gradient[:, :, None])[:, :, 0]
+        after = loss(tried)
+        better = moving & (after <= best)
+        theta[better], best[better] = tried[better], after[better]
+        damping = np.clip(np.where(better, damping / 10, damping * 10), 1e-12, 1e12)
+    return theta, best, slope
+
+
+def constrained_fit(xx: np.ndarray, xz: np.ndarray, zz: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parameters, sum of squares and steepest correlation per system, NaN where a system is singular.
+
+    The sum of squares can have more than one low point, so the steps start from the
+    free coefficients of the lags and from zero, and the lower end counts.
+    """
+    free = _solve(xx, xz)
+    theta, sse, slope = np.full((len(xx), FREE), np.nan), np.full(len(xx), np.nan), np.full(len(xx), np.nan)
+    usable = np.flatnonzero(np.isfinite(free).all(axis=1))
+    if len(usable):
+        terms = len(TERM_LAGS)
+        starts = (free[usable][:, [0, 1, 2, terms, terms + 1, terms + 2]], np.zeros((len(usable), FREE)))
+        ends = [_descend(xx[usable], xz[usable], zz[usable], start) for start in starts]
+        lower = ends[0][1] <= ends[1][1]
+        theta[usable] = np.where(lower[:, None], ends[0][0], ends[1][0])
+        sse[usable], slope[usable] = np.where(lower, ends[0][1], ends[1][1]), np.where(lower, ends[0][2], ends[1][2])
+    return theta, sse, slope
+
+
 def _forecast_batches(horizon: int):
     """Solve stage two and step the recursion for a batch of products at once."""
 
@@ -113,9 +189,9 @@ def _forecast_batches(horizon: int):
             for i, j in _PAIRS:
                 xx[:, i, j] = xx[:, j, i] = sums[f"xx{i}_{j}"]
             xz = sums[[f"xz{i}" for i in range(size)]].to_numpy(dtype=float)
-            beta = _solve(xx, xz)
+            theta, sse, slope = constrained_fit(xx, xz, sums["zz"].to_numpy(dtype=float))
+            beta = lag_coefficients(theta)
             n = sums["n"].to_numpy(dtype=float)
-            sse = sums["zz"].to_numpy(dtype=float) - (beta * xz).sum(axis=1)
 
             def state(name: str) -> np.ndarray:
                 """Oldest first, with room for the steps ahead."""
@@ -130,14 +206,16 @@ def _forecast_batches(horizon: int):
                     y[:, t] = z[:, t] + y[:, t - 1] + y[:, t - SEASON] - y[:, t - SEASON - 1]
                 aic = n * np.log(sse / n) + 2 * PARAMETERS
                 bic = n * np.log(sse / n) + PARAMETERS * np.log(n)
-            keep = np.isfinite(y).all(axis=1) & np.isfinite(aic) & (n > PARAMETERS)
+            keep = np.isfinite(y).all(axis=1) & np.isfinite(aic) & (n > size + 1)
             yield pd.DataFrame(
                 {
                     "product_id": sums["product_id"][keep].to_numpy(),
+                    "parameters": list(theta[keep]),
                     "coefficients": list(beta[keep]),
                     "ahead": list(y[keep, STATE:]),
                     "n_used": n[keep].astype("int64"),
                     "sse": sse[keep],
+                    "slope": slope[keep],
                     "aic": aic[keep],
                     "bic": bic[keep],
                 }
@@ -147,12 +225,16 @@ def _forecast_batches(horizon: int):
 
 
 FIT_SCHEMA = (
-    "product_id string, coefficients array<double>, ahead array<double>, n_used long, sse double, aic double, bic double"
+    "product_id string, parameters array<double>, coefficients array<double>, ahead array<double>, "
+    "n_used long, sse double, slope double, aic double, bic double"
 )
 
 
 def fit_seasonal_arima(series: DataFrame, horizon: int = 30) -> DataFrame:
-    """One row per product that could be fitted: coefficients, forecast array, AIC and BIC.
+    """One row per product that could be fitted: parameters, coefficients, forecast array, AIC and BIC.
+
+    ``slope`` is the largest correlation of the residuals with a regressor along
+    the parameters, zero at the least sum of squares.
 
     Products with too few rows, a singular system or a forecast that is not
     finite are absent.

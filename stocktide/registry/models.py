@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -289,6 +292,30 @@ def information_criteria(spark, folder):
     return fit_seasonal_arima(raw_demand(spark, folder)).select("product_id", "n_used", "sse", "aic", "bic")
 
 
+@register(
+    "i21_fit_conditions",
+    RAW
+    + BODY
+    # Held-out rows, and those before the first difference, its last lag and the last lag of its residuals.
+    + """SELECT product_id, count(*) - 30 - 8 - 28 - 9 AS n_used, 6 AS n_parameters, TRUE AS least, TRUE AS multiplicative,
+    TRUE AS criteria_agree FROM raw_demand GROUP BY product_id""",
+)
+def fit_conditions(spark, folder):
+    """What must hold for every fit: its rows, residuals at a right angle to the slopes, products at lags 8 and 9, criteria by the count."""
+    fits = fit_seasonal_arima(raw_demand(spark, folder))
+    p, c = (lambda k: F.col("parameters")[k]), (lambda k: F.col("coefficients")[k])
+    products = [(3, -p(0) * p(2)), (4, -p(1) * p(2)), (8, p(3) * p(5)), (9, p(4) * p(5))]
+    holds = reduce(and_, [F.abs(c(k) - value) <= 1e-9 * (1 + F.abs(value)) for k, value in products])
+    return fits.select(
+        "product_id",
+        "n_used",
+        F.size("parameters").alias("n_parameters"),
+        (F.col("slope") < 1e-6).alias("least"),
+        holds.alias("multiplicative"),
+        (F.abs(F.col("bic") - F.col("aic") - 7 * (F.log("n_used") - 2)) < 1e-6 * F.abs("aic")).alias("criteria_agree"),
+    )
+
+
 @register(
     "i22_simple_ar",
     forecasts() + BODY + "SELECT product_id, date, step, actual, predicted, 'SimpleAR' AS method FROM simple_ar",

@@ -24,6 +24,7 @@ empty table; further columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -212,6 +213,20 @@ def _summed(names: list[str], numbers: list[int]) -> list[tuple[str, int]]:
     return sorted(sums.items())
 
 
+def _best(phrases: DataFrame, top: int, rows: int) -> DataFrame:
+    """The first ``top`` phrases per language with their ``rank``.
+
+    Each of several parts of a language sends its own first ``top``. There are so many
+    parts that one part and all that the parts send have about the same size: both
+    grow with the square root of ``rows``, the number of phrases, even in one language.
+    """
+    part = F.pmod(F.xxhash64("phrase"), F.lit(math.ceil(math.sqrt(rows / max(top, 1))) or 1))
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    first = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    sent = phrases.withColumn("part", part).withColumn("first", first).where(F.col("first") <= top).drop("part", "first")
+    return sent.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+
+
 def collocations(
     docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT, top: int = TOP, cover_percent: int = COVER_PERCENT, text: str = "text", lang: str = "lang"
 ) -> DataFrame:
@@ -236,8 +251,7 @@ def collocations(
     covers = inner.groupBy("lang", "phrase").agg(F.max("cover").alias("cover"))
     covered = F.col("cover").cast("decimal(20,0)") * 100 >= F.col("a").cast("decimal(20,0)") * cover_percent
     open_phrases = phrases.join(covers, ["lang", "phrase"], "left").where(F.col("cover").isNull() | ~covered)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = open_phrases.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    best = _best(open_phrases, top, phrases.count())
     return best.join(words, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score")
     )

@@ -156,6 +156,13 @@ def test_phrases_over_many_blocks(spark, monkeypatch):
     assert phrases(spark, rows, min_count=3, top=20) == expected_phrases(rows, 3, 3, 20)
 
 
+@pytest.mark.parametrize("top", [1, 4])
+def test_best_phrases_of_many_parts(spark, top):
+    """Many parts per language, with equal scores on both sides of the last rank."""
+    rows = odd_texts()
+    assert phrases(spark, rows, min_count=1, top=top) == expected_phrases(rows, 3, 1, top)
+
+
 def test_no_phrases(spark):
     assert phrases(spark, []) == []
     assert phrases(spark, [("en", "one two three")], min_count=2) == []

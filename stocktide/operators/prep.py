@@ -11,9 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import finite_or_zero, flag, ratio
+from ..session import materialize
 from ..settings import NON_FEATURE_COLUMNS
+from .numbering import add_place
 from .quantile import date_quantile
 
+#: Values that may become columns of their own; a wider table is no longer one that Spark plans.
+MAX_LEVELS = 2_000
+
 ONE_HOT_PREFIXES = {"category": "cat", "warehouse": "wh", "region": "reg"}
 
 
@@ -21,18 +26,52 @@ def one_hot_name(prefix: str, level: str) -> str:
     return f"{prefix}_{re.sub(r'[^0-9A-Za-z]+', '_', level)}"
 
 
-def levels_of(df: DataFrame, columns: Iterable[str]) -> dict[str, list[str]]:
-    """Sorted distinct values per column, in one pass, for columns of their own.
+def _named_levels(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Distinct (``source``, ``level``) of the columns, in one pass; nulls are no level."""
+    named = F.array(*[F.struct(F.lit(c).alias("source"), F.col(c).cast("string").alias("level")) for c in columns])
+    return df.select(F.inline(named)).where(F.col("level").isNotNull()).distinct()
+
 
-    A wide table has a column per value, so this is for catalogues of a width
-    that a table can have. ``add_level_vectors`` has no such limit.
+def levels_of(df: DataFrame, columns: Iterable[str], most: int = MAX_LEVELS) -> dict[str, list[str]]:
+    """Sorted distinct values per column, for columns of their own.
+
+    A wide table has a column per value, so more than ``most`` values are an
+    error; nothing beyond them comes to the driver. ``add_level_codes`` has no
+    such limit.
     """
     columns = list(columns)
-    named = F.array(*[F.struct(F.lit(c).alias("source"), F.col(c).alias("level")) for c in columns])
-    rows = df.select(F.inline(named)).where(F.col("level").isNotNull()).distinct().collect()
+    rows = _named_levels(df, columns).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{', '.join(columns)} have more than {most} values; use add_level_codes")
     return {c: sorted(row.level for row in rows if row.source == c) for c in columns}
 
 
+def level_index(df: DataFrame, columns: Iterable[str] = ONE_HOT_PREFIXES) -> DataFrame:
+    """``code`` of each (``source``, ``level``): its place from 0 among its column's values in order.
+
+    The values are sorted, numbered and written by tasks; none of them comes to
+    the driver, however many there are.
+    """
+    placed = add_place(_named_levels(df, columns).orderBy("source", "level"))
+    firsts = placed.groupBy("source").agg(F.min("place").alias("first"))
+    return materialize(placed.join(firsts, "source").select("source", "level", (F.col("place") - F.col("first")).alias("code")), "levels")
+
+
+def add_level_codes(df: DataFrame, index: DataFrame | None = None, prefixes: Mapping[str, str] = ONE_HOT_PREFIXES) -> DataFrame:
+    """One number ``<prefix>_code`` per column in place of a column per value; the source columns are dropped.
+
+    A null, or a value that the index lacks, has the code -1. Trees cut the codes
+    in order, so they stand for the values as one input each.
+    """
+    if index is None:
+        index = level_index(df, prefixes)
+    for source, prefix in prefixes.items():
+        codes = index.where(F.col("source") == source).select(F.col("level").alias("__level"), F.col("code").alias("__code"))
+        df = df.join(codes, F.col(source).cast("string") == F.col("__level"), "left")
+        df = df.withColumn(f"{prefix}_code", F.coalesce("__code", F.lit(-1))).drop("__level", "__code", source)
+    return df
+
+
 def add_level_vectors(df: DataFrame, prefixes: Mapping[str, str] = ONE_HOT_PREFIXES) -> DataFrame:
     """One sparse 0/1 vector ``<prefix>_levels`` per column, however many values it has; the source columns are dropped.
 

@@ -60,6 +60,9 @@ raw_demand AS (
   FROM priced g JOIN region r ON r.r_regionkey = g.region_no)
 """
 
+# The same fact with each part as a product of its own.
+PART_RAW = RAW.replace("p.p_brand || '/' || p.p_type AS product_id", "'P' || lpad(CAST(p.p_partkey AS VARCHAR), 10, '0') AS product_id")
+
 CALENDAR = (
     RAW.rstrip()
     + f""",
@@ -148,6 +151,20 @@ ONE_HOT |= {f"wh_WH_{r.replace(' ', '_')}": f"warehouse = 'WH-{r}'" for r in REG
 ONE_HOT |= {f"reg_{r.replace(' ', '_')}": f"region = '{r}'" for r in REGIONS}
 ONE_HOT_SQL = ", ".join(f"CASE WHEN {test} THEN 1 ELSE 0 END AS {name}" for name, test in ONE_HOT.items())
 
+
+def _code_sql(prefix: str, levels: list[str]) -> str:
+    """Place of the value among its column's, from the columns per value."""
+    names = [name for name in ONE_HOT if name.startswith(f"{prefix}_")]
+    in_order = sorted(range(len(levels)), key=levels.__getitem__)
+    return " + ".join(f"{code} * {names[i]}" for code, i in enumerate(in_order))
+
+
+CODES = {
+    "cat_code": _code_sql("cat", list(CATEGORIES)),
+    "wh_code": _code_sql("wh", [f"WH-{r}" for r in REGIONS]),
+    "reg_code": _code_sql("reg", list(REGIONS)),
+}
+
 FEATURE_TABLE = (
     FEATURES.rstrip()
     + f""",

@@ -24,20 +24,21 @@ from ..operators.ensemble import (
     tuning_points,
     weighted,
 )
-from ..operators.prep import add_one_hot, add_split_side, feature_columns, feature_matrix, fold_labels
+from ..operators.prep import add_level_codes, add_one_hot, add_split_side, feature_columns, feature_matrix, fold_labels
 from ..operators.scores import compare_models, full_metrics, model_scores
 from ..operators.seasonal_arima import fit_seasonal_arima, forecast_with_fallback
 from ..operators.selection import top_products, with_min_history
 from ..operators.simple_ar import add_components, simple_ar
-from ..plans.features import sided_features
+from ..plans.features import feature_table, sided_features
 from ..plans.forecasting import MODELS, ensemble_run, product_forecasts, rolling_forecasts
 from ..session import materialize
 from ..settings import DEFAULTS
-from ..sources.demand import demand_calendar, demand_levels, raw_demand
+from ..sources.demand import demand_calendar, demand_level_index, demand_levels, raw_demand
 from .base import PEAKS, register
 from .ctes import (
     CALENDAR,
     CALENDAR_NAMES,
+    CODES,
     DOUBLE_FEATURES,
     FEATURE_TABLE,
     LAG_NAMES,
@@ -104,6 +105,18 @@ def one_hot(spark, folder):
     return add_one_hot(rows, demand_levels(spark, folder))
 
 
+@register(
+    "i4_level_codes",
+    RAW
+    + BODY
+    + """SELECT product_id, date, dense_rank() OVER (ORDER BY category) - 1 AS cat_code,
+    dense_rank() OVER (ORDER BY warehouse) - 1 AS wh_code, dense_rank() OVER (ORDER BY region) - 1 AS reg_code FROM raw_demand""",
+)
+def level_codes(spark, folder):
+    rows = raw_demand(spark, folder).select("product_id", "date", "category", "warehouse", "region")
+    return add_level_codes(rows, demand_level_index(spark, folder))
+
+
 _FEATURE_DIGITS = {c: 4 if c in ("price_demand_corr_30d", "revenue") else 6 for c in (*DOUBLE_FEATURES, "price_demand_corr_30d")}
 
 
@@ -140,7 +153,10 @@ def split_by_time(spark, folder):
     "feature_sum:4",
 )
 def matrix_rows(spark, folder):
-    matrix = stored_matrix(spark, folder)
+    return _checked_sums(stored_matrix(spark, folder))
+
+
+def _checked_sums(matrix):
     values = vector_to_array("features")
     return matrix.select(
         "product_id",
@@ -152,6 +168,24 @@ def matrix_rows(spark, folder):
     )
 
 
+_CODED_INPUTS = [f'"{c}"' for c in MATRIX_INPUTS if c not in ONE_HOT] + [f"({sql})" for sql in CODES.values()]
+
+
+@register(
+    "i7_coded_matrix",
+    FEATURE_TABLE
+    + BODY
+    + f"""SELECT product_id, date, side, CAST(target AS DOUBLE) AS label, {len(_CODED_INPUTS)} AS n_features,
+    {" + ".join(f'coalesce(CAST({c} AS DOUBLE), 0.0)' for c in _CODED_INPUTS)} AS feature_sum FROM sided""",
+    "feature_sum:4",
+)
+def coded_matrix_rows(spark, folder):
+    """The matrix with a code per attribute, whatever the number of values; nothing is collected before a fit."""
+    codes = demand_level_index(spark, folder)
+    features = feature_table(raw_demand(spark, folder), demand_calendar(spark, folder), level_codes=codes)
+    return _checked_sums(feature_matrix(sided_features(features)))
+
+
 @register("i8_forest_forecasts")
 def forest_forecasts(spark, folder):
     model, matrix, _ = trained(spark, folder)

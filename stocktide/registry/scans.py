@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.calendar import peak_months
+from ..operators.series import add_lags, add_rolling
 from ..operators.simple_ar import simple_ar
 from ..plans.reports import weekly_demand
 from ..plans.views import create_views
 from ..schema import RAW_DEMAND
 from ..session import new_path
-from ..sources.demand import demand_calendar, raw_demand
+from ..sources.demand import demand_calendar, demand_tables, raw_demand, store_by_product
 from ..sources.tables import read_by_month, read_csv, read_csv_inferred, replace_months, write_by_month, write_csv
 from .base import AS_OF, MIN_YEAR, PEAKS, register
-from .ctes import AS_OF_SQL, PEAK_ROWS, RAW, forecasts
+from .ctes import AS_OF_SQL, PART_RAW, PEAK_ROWS, RAW, forecasts
 
 BODY = "--body\n"
 WEEKLY_SQL = f"""SELECT product_id, category, region, CAST(date_trunc('week', date) AS DATE) AS week_start,
@@ -193,3 +194,50 @@ def literal_rows(spark, folder):
 @register("a10_raw_demand", RAW + BODY + "SELECT * FROM raw_demand", "price revenue:4")
 def whole_fact(spark, folder):
     return raw_demand(spark, folder)
+
+
+@register("a10_part_demand", PART_RAW + BODY + """SELECT product_id, category, region, "year", count(*) AS n_days,
+    CAST(sum(units_sold) AS BIGINT) AS units, sum(revenue) AS revenue, min(price) AS min_price, max(price) AS max_price
+    FROM raw_demand GROUP BY ALL""", "revenue:2 min_price:4 max_price:4")
+def part_fact(spark, folder):
+    """The fact with each part as a product of its own, by part and year."""
+    return (
+        raw_demand(spark, folder, by_part=True)
+        .groupBy("product_id", "category", "region", "year")
+        .agg(
+            F.count("*").alias("n_days"),
+            F.sum("units_sold").alias("units"),
+            F.sum("revenue").alias("revenue"),
+            F.min("price").alias("min_price"),
+            F.max("price").alias("max_price"),
+        )
+    )
+
+
+def bucketed_features(demand):
+    """Windows, sums and a join by product: none of them shuffles a fact that is stored by product."""
+    rolled = add_rolling(add_lags(demand, (7, 365)), windows=(30,), statistics=("max",))
+    weekly = rolled.groupBy("product_id").agg(
+        F.count("*").alias("n_days"),
+        F.sum("demand_lag_365d").alias("units_before_last_year"),
+        F.sum(F.col("units_sold") * F.col("demand_lag_7d")).alias("weekly_product"),
+        F.sum("rolling_max_30d").alias("monthly_peaks"),
+    )
+    busiest = demand.groupBy("product_id").agg(F.max(F.struct("units_sold", "date")).alias("top"))
+    return weekly.join(busiest, "product_id").select(
+        "product_id", "n_days", "units_before_last_year", "weekly_product", "monthly_peaks", F.col("top.date").alias("busiest_day")
+    )
+
+
+@register("a10_stored_by_product", PART_RAW.rstrip() + """,
+lagged AS (
+  SELECT *, lag(units_sold, 7) OVER w AS week_ago, lag(units_sold, 365) OVER w AS year_ago,
+         max(units_sold) OVER (PARTITION BY product_id ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS peak
+  FROM raw_demand WINDOW w AS (PARTITION BY product_id ORDER BY date))
+--body
+SELECT product_id, count(*) AS n_days, CAST(sum(year_ago) AS BIGINT) AS units_before_last_year,
+  CAST(sum(units_sold * week_ago) AS BIGINT) AS weekly_product, CAST(sum(peak) AS BIGINT) AS monthly_peaks,
+  max_by(date, units_sold * 100000 + date_diff('day', DATE '1970-01-01', date)) AS busiest_day
+  FROM lagged GROUP BY 1""")
+def stored_fact(spark, folder):
+    return bucketed_features(store_by_product(*demand_tables(spark, folder), by_part=True))

@@ -14,18 +14,26 @@
 3. Partition keys and revenue are derived.
 
 The result stays hash-partitioned by product, so that later windows over
-``product_id`` need no further exchange.
+``product_id`` need no further exchange. ``store_by_product`` keeps that on disk:
+a table in buckets of products, whose readers need no exchange either.
+
+A product is a line (brand and type) or, with ``by_part``, each part by itself.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators.prep import ONE_HOT_PREFIXES, levels_of
-from ..session import materialize
-from .tables import read_table
+from ..operators.prep import ONE_HOT_PREFIXES, level_index, levels_of
+from ..session import materialize, new_path
+from .tables import read_table, write_by_product
+
+#: Rows of the filled fact that one task or bucket is sized for.
+ROWS_PER_TASK = 2_000_000
 
 
 def sale_span(lines: DataFrame) -> DataFrame:
@@ -81,17 +89,52 @@ def daily_sales(lines: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
-def fill_days(sales: DataFrame, first_day: Column, last_day: Column) -> DataFrame:
+def daily_part_sales(lines: DataFrame, parts: DataFrame) -> DataFrame:
+    """Units and mean paid price per part and day with a sale, each part a product of its own.
+
+    Order lines are summed before they meet their part, so a part with a third
+    of all lines reaches the join as one row per day. Its list price is the same
+    in all of them and multiplies the sum.
+    """
+    daily = (
+        lines.groupBy("l_partkey", F.to_date("l_shipdate").alias("date"))
+        .agg(
+            F.sum(F.col("l_quantity").cast("long")).alias("units"),
+            F.sum(F.rint((1 - F.col("l_discount")) * 100).cast("long")).alias("paid_pct"),
+            F.count("*").alias("n"),
+        )
+    )
+    list_cents = F.rint(F.col("p_retailprice") * 100).cast("long")
+    return daily.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.format_string("P%010d", "p_partkey").alias("product_id"),
+        F.col("p_type").alias("category"),
+        _region_no().alias("region_no"),
+        "date",
+        "units",
+        ((list_cents * F.col("paid_pct")).cast("double") / F.col("n") / 10000.0).alias("paid_price"),
+    )
+
+
+def tasks_for(sales: DataFrame, rows: int = ROWS_PER_TASK) -> int:
+    """Tasks of ``rows`` rows that the filled fact needs: products times days, counted on the days with a sale."""
+    days = F.datediff(F.max("date"), F.min("date")) + 1
+    size = sales.agg(F.approx_count_distinct("product_id").alias("products"), F.coalesce(days, F.lit(0)).alias("days")).first()
+    return max(1, -(-size.products * size.days // rows))
+
+
+def fill_days(sales: DataFrame, first_day: Column, last_day: Column, partitions: int | None = None) -> DataFrame:
     """One row per product and day, from rows that exist only on days with a sale.
 
     Units of a filled day are 0. Its price is the last paid price, or the first
     one for days before any sale.
 
     Filling multiplies the rows and every later window works on the result, so
-    the exchange gets the session's number of shuffle partitions outright:
-    adaptive execution would merge partitions by the few bytes that go in.
+    the exchange gets its number of ``partitions`` outright (the session's number
+    of shuffle partitions if none is given): adaptive execution would merge
+    partitions by the few bytes that go in.
     """
-    partitions = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        partitions = _session_partitions(sales.sparkSession)
     sales = sales.repartition(partitions, "product_id")
     series = Window.partitionBy("product_id").orderBy("date")
     gaps = sales.withColumns(
@@ -111,6 +154,10 @@ def fill_days(sales: DataFrame, first_day: Column, last_day: Column) -> DataFram
     )
 
 
+def _session_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def add_revenue(df: DataFrame) -> DataFrame:
     return df.withColumn("revenue", F.col("units_sold") * F.col("price"))
 
@@ -121,34 +168,85 @@ def add_partition_keys(df: DataFrame) -> DataFrame:
     return df.withColumns({"year": F.year(date), "month": F.month(date), "week": dates.iso_week(date)})
 
 
-def assemble(lines: DataFrame, parts: DataFrame, regions: DataFrame) -> DataFrame:
+def assemble(
+    lines: DataFrame, parts: DataFrame, regions: DataFrame, by_part: bool = False, partitions: int | None = None
+) -> DataFrame:
     """The whole fact with product attributes, revenue and partition keys.
 
     The daily sums are written once: the order lines are read for them alone,
-    and the first and last day come from the sums.
+    and the first and last day come from the sums. Unless ``partitions`` says
+    otherwise, there are as many as the filled rows need, and no fewer than the
+    session's number of shuffle partitions.
     """
-    sales = materialize(daily_sales(lines, parts), "daily_sales")
+    return _filled(_daily(lines, parts, by_part), regions, partitions)
+
+
+def _daily(lines: DataFrame, parts: DataFrame, by_part: bool) -> DataFrame:
+    return materialize((daily_part_sales if by_part else daily_sales)(lines, parts), "daily_sales")
+
+
+def _filled(sales: DataFrame, regions: DataFrame, partitions: int | None) -> DataFrame:
+    if partitions is None:
+        partitions = max(_session_partitions(sales.sparkSession), tasks_for(sales))
     span = sales.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
-    filled = fill_days(sales, span.select("first_day").scalar(), span.select("last_day").scalar())
+    filled = fill_days(sales, span.select("first_day").scalar(), span.select("last_day").scalar(), partitions)
     fact = _add_region(filled, regions).select(
         "product_id", "date", "units_sold", "price", "category", "warehouse", "region"
     )
     return add_partition_keys(add_revenue(fact))
 
 
-def raw_demand(spark: SparkSession, folder: str) -> DataFrame:
+def store_by_product(
+    lines: DataFrame,
+    parts: DataFrame,
+    regions: DataFrame,
+    path: str | None = None,
+    name: str | None = None,
+    by_part: bool = False,
+    buckets: int | None = None,
+) -> DataFrame:
+    """The fact as a stored table in buckets of products, sorted by product and day.
+
+    Days are filled in as many partitions as there are buckets, dealt by the same
+    hash, so each task writes one file and nothing is shuffled for the write.
+    Windows, sums and joins by product over the table then need no exchange, and a
+    filter on one product reads one bucket. By default there are as many buckets
+    as partitions in ``assemble``, up to the most that the session allows.
+    """
+    spark = lines.sparkSession
+    sales = _daily(lines, parts, by_part)
+    if buckets is None:
+        most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+        buckets = min(most, max(_session_partitions(spark), tasks_for(sales)))
+    name = name or f"demand_{uuid.uuid4().hex}"
+    path = path or new_path(spark, "demand_by_product")
+    return write_by_product(_filled(sales, regions, buckets), path, name, buckets, placed=True)
+
+
+def raw_demand(spark: SparkSession, folder: str, by_part: bool = False) -> DataFrame:
     """The demand fact of the tables in ``folder``."""
-    return assemble(*(read_table(spark, folder, t) for t in ("lineitem", "part", "region")))
+    return assemble(*demand_tables(spark, folder), by_part=by_part)
+
+
+def demand_tables(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Order lines, parts and regions."""
+    return [read_table(spark, folder, t) for t in ("lineitem", "part", "region")]
+
+
+def _catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    """Category, warehouse and region of each part: the two catalogue tables, not a pass over the fact."""
+    products = read_table(spark, folder, "part").select(F.col("p_type").alias("category"), _region_no().alias("region_no"))
+    return _add_region(products, read_table(spark, folder, "region"))
 
 
 def demand_levels(spark: SparkSession, folder: str) -> dict[str, list[str]]:
-    """Values of category, warehouse and region in the catalogue, for one-hot columns.
+    """Values of category, warehouse and region in the catalogue, for one-hot columns."""
+    return levels_of(_catalogue(spark, folder), ONE_HOT_PREFIXES)
 
-    They come from the two catalogue tables, not from a pass over the fact.
-    """
-    parts = read_table(spark, folder, "part")
-    products = parts.select(F.col("p_type").alias("category"), _region_no().alias("region_no"))
-    return levels_of(_add_region(products, read_table(spark, folder, "region")), ONE_HOT_PREFIXES)
+
+def demand_level_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The written codes of those values, however many there are."""
+    return level_index(_catalogue(spark, folder), ONE_HOT_PREFIXES)
 
 
 def demand_calendar(spark: SparkSession, folder: str) -> DataFrame:

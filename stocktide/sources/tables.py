@@ -47,6 +47,27 @@ def read_by_month(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.parquet(path)
 
 
+def write_by_product(df: DataFrame, path: str, name: str, buckets: int, placed: bool = False) -> DataFrame:
+    """Table ``name`` at ``path`` in buckets of products, each sorted by product and day.
+
+    Rows are dealt to the buckets first, so that a bucket is one file; ``placed``
+    says that they already lie so, by ``product_id`` in as many partitions.
+    """
+    rows = df if placed else df.repartition(buckets, "product_id")
+    rows.write.option("path", path).bucketBy(buckets, "product_id").sortBy("product_id", "date").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def open_by_product(spark: SparkSession, path: str, name: str, schema: T.StructType, buckets: int) -> DataFrame:
+    """Declare the table that an earlier application wrote with ``write_by_product``."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet "
+        f"CLUSTERED BY (product_id) SORTED BY (product_id, date) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header line; no index column exists in Spark."""
     df.write.mode("overwrite").option("header", True).csv(path)

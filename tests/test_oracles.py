@@ -11,7 +11,7 @@ import check  # noqa: E402
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 
 # Row-level window queries run in tools/check.py; these return few rows.
-NAMES = """a1_sql_view a1_report_view a5_partitioned_sink b2_star_plus b16_simple_case b21_first_products c1_composite_key_join c4_lookup_default
+NAMES = """a1_sql_view a1_report_view a5_partitioned_sink a10_part_demand a10_stored_by_product b2_star_plus b16_simple_case b21_first_products c1_composite_key_join c4_lookup_default
 c6_previous_block d7_approx_percentile d11_dataset_profile d12_date_quantile d18_median_ape
 d20_scorecard d20_product_results d22_split_summary e19_row_blocks f4_sorted_limit h2_date_add h9_holiday_distance i13_fold_labels i21_fit_conditions
 i27_adaptive_fallback i29_model_comparison i30_business_impact i33_spike_alerts j1_weekly_demand j2_year_over_year

@@ -53,14 +53,38 @@ def add_rolling(
 
     By default the frame ends at the current row, whose value is also the
     training target; ``exclude_current`` ends it one row earlier.
+
+    Spark goes over a whole frame again at each row. Where extremes alone are
+    asked for, they are put together from those of shorter frames.
     """
     frames = {n: trailing(n, exclude_current) for n in windows}
     statistics = tuple(statistics)
+    if set(statistics) <= EXTREMES.keys():
+        return _add_extremes(df, list(frames), statistics, value, exclude_current)
     return df.withColumns(
         {f"rolling_{s}_{n}d": ROLLING[s](value).over(frame) for n, frame in frames.items() for s in statistics}
     )
 
 
+#: Extremes of a frame are those of the extremes of its parts.
+EXTREMES = {"min": F.least, "max": F.greatest}
+
+
+def _part(rows: int) -> int:
+    """The smallest whole part of ``rows`` that is at least their square root."""
+    return next(n for n in range(1, rows + 1) if rows % n == 0 and n * n >= rows)
+
+
+def _add_extremes(df: DataFrame, windows: list[int], statistics: tuple[str, ...], value: str, exclude_current: bool) -> DataFrame:
+    """Rolling extremes of ``windows`` rows, from those of a part of the rows at the row itself and before."""
+    names = {(s, n): f"rolling_{s}_{n}d" for n in windows for s in statistics}
+    short = {(s, n): f"__{s}_{n}" for s, n in names}
+    parted = df.withColumns({short[s, n]: ROLLING[s](value).over(trailing(_part(n), exclude_current)) for s, n in names})
+    before = lambda s, n: [F.lag(short[s, n], k).over(by_product()) for k in range(_part(n), n, _part(n))]
+    whole = {names[s, n]: EXTREMES[s](short[s, n], *before(s, n)) if _part(n) < n else F.col(short[s, n]) for s, n in names}
+    return parted.withColumns(whole).drop(*short.values())
+
+
 def add_demand_cv(df: DataFrame) -> DataFrame:
     return df.withColumn("demand_cv_30d", ratio(F.col("rolling_std_30d"), F.col("rolling_mean_30d")))
 

@@ -53,9 +53,10 @@ def _region_no() -> Column:
 
 
 def _add_region(df: DataFrame, regions: DataFrame) -> DataFrame:
-    """Region and its warehouse in place of the region number."""
-    named = regions.select(F.col("r_regionkey").alias("region_no"), F.col("r_name").alias("region"))
-    return df.join(named, "region_no").withColumn("warehouse", F.concat(F.lit("WH-"), "region")).drop("region_no")
+    """Region and its warehouse in place of the region number; the names are made once per region, not per row."""
+    warehouse = F.concat(F.lit("WH-"), "r_name").alias("warehouse")
+    named = regions.select(F.col("r_regionkey").alias("region_no"), F.col("r_name").alias("region"), warehouse)
+    return df.join(named, "region_no").drop("region_no")
 
 
 def daily_sales(lines: DataFrame, parts: DataFrame) -> DataFrame:
@@ -144,7 +145,9 @@ def fill_days(sales: DataFrame, first_day: Column, last_day: Column, partitions:
         }
     )
     start = F.when(F.col("nth") == 1, first_day).otherwise(F.col("date"))
-    filled = gaps.withColumn("filled_day", F.explode(F.sequence(start, F.col("until"))))
+    # Whole numbers: a sequence of dates goes through time stamps and the time zone, day by day.
+    days = F.sequence(F.unix_date(start), F.unix_date("until"))
+    filled = gaps.withColumn("filled_day", F.explode(days)).withColumn("filled_day", F.date_from_unix_date("filled_day"))
     return filled.select(
         "product_id",
         F.col("filled_day").alias("date"),

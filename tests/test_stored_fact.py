@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from stocktide.operators import prep
+from stocktide.operators import prep, series
 from stocktide.registry.scans import bucketed_features
 from stocktide.session import new_path
 from stocktide.sources import demand, tables
@@ -115,3 +115,21 @@ def test_wide_catalogues_get_codes_not_columns(spark):
         prep.levels_of(wide, prep.ONE_HOT_PREFIXES)
     coded = prep.add_level_codes(wide).agg(F.min("cat_code"), F.max("cat_code"), F.countDistinct("cat_code")).first()
     assert tuple(coded) == (0, 2999, 3000)
+
+
+def test_nothing_is_sorted_over_the_stored_fact(given, spark):
+    stored = demand.store_by_product(*given[:3], by_part=True, buckets=3)
+    assert "Sort [" not in plan_of(series.add_rolling(series.add_lags(stored, (7, 365)), (30,), ("max",)))
+    assert "Sort [" not in plan_of(bucketed_features(stored))
+
+
+@pytest.mark.parametrize("exclude_current", [False, True])
+def test_extremes_of_parts_are_those_of_the_frame(spark, exclude_current):
+    rows = [(f"p{i % 3}", dt.date(2020, 1, 1) + dt.timedelta(days=i // 3), None if i % 11 == 0 else float(i * 7919 % 101)) for i in range(200)]
+    df = spark.createDataFrame(rows, "product_id string, date date, units_sold double")
+    found = series.add_rolling(df, (1, 2, 7, 14, 30), ("min", "max"), exclude_current=exclude_current)
+    whole = {f"{s}{n}": f(F.col("units_sold")).over(series.trailing(n, exclude_current)) for s, f in (("min", F.min), ("max", F.max)) for n in (1, 2, 7, 14, 30)}
+    compared = found.withColumns(whole).collect()
+    assert len(compared) == 200 and all(r[f"rolling_{s}_{n}d"] == r[f"{s}{n}"] for r in compared for s in ("min", "max") for n in (1, 2, 7, 14, 30))
+    # No frame of 30 rows is gone over at each row.
+    assert "-29" not in plan_of(series.add_rolling(df, (30,), ("max",)))

@@ -46,9 +46,11 @@ FOREST = DEFAULTS.forest
 #: Rows of a node that one task may finish; trees that are grown in one job; trees and blocks that meet in one task.
 NODE_ROWS = 1_000_000
 BATCH_TREES = 100
-PACK_TREES, PACK_BLOCKS = 25, 8
+PACK_TREES, PACK_BLOCKS = 25, 40
 #: Bins of a column, rows of a block, and rows that the bins' borders are taken from.
 BINS, BLOCK_ROWS, EDGE_ROWS = 32, 10_000, 20_000
+#: Leading bits of a hash that rows are counted by.
+BAND_BITS = 12
 
 BLOCKS = "block long, product_id array<string>, date array<date>, day binary, side array<string>, label binary, row_key binary, bins binary"
 PIECES = "model int, tree int, path long, column binary, cut binary, left binary, value binary, gains array<double>"
@@ -79,9 +81,16 @@ def bin_edges(matrix: DataFrame, bins: int = BINS, rows: int = EDGE_ROWS) -> lis
 
     A column of few values has a border between any two of them.
     """
-    values = vector_to_array("features")
-    sample = matrix.select(F.xxhash64("product_id", "date").alias("h"), values.alias("x")).orderBy("h", "x").limit(rows)
-    x = np.array([r.x for r in sample.select("x").collect()], float)  # ``rows`` at most
+    keyed = matrix.withColumn("h", F.xxhash64("product_id", "date"))
+    # The chosen rows lie in the first bands of hashes. Only rows of these are ranked, and by tasks: a
+    # ranking that ends in a collect would send ``rows`` rows of every partition to the driver.
+    band = F.shiftright("h", 64 - BAND_BITS)
+    counts = keyed.groupBy(band.alias("band")).count().orderBy("band").collect()  # one per band
+    before = np.cumsum([0, *(r["count"] for r in counts)])
+    last = next((r.band for r, n in zip(counts, before[1:]) if n >= rows), None)
+    near = keyed if last is None else keyed.where(band <= last)
+    chosen = near.select("h", vector_to_array("features").alias("x")).orderBy("h", "x").limit(rows)
+    x = np.array([r.x for r in materialize(chosen.select("x"), "edge_rows").collect()], float)  # ``rows`` at most
     edges = []
     for column in x.T if len(x) else ():
         known = np.unique(column)

@@ -194,3 +194,22 @@ def test_registered_forests_have_the_default_size(spark, folder, monkeypatch):
     for name in ("i8_forest_forecasts", "i11_out_of_bag", "i13_cross_validation"):
         queries()[name](spark, folder)
     assert {(s.trees, s.max_depth, s.min_leaf_rows) for s in asked} == {(500, 20, 5)} and len(asked) == 2
+
+
+@pytest.mark.parametrize("rows", [1, 50, 399, 400, 1000])
+def test_edges_come_from_the_first_rows_by_hash(spark, rows):
+    matrix = matrix_of(spark).unionByName(matrix_of(spark, seed=5))  # each key twice
+    keyed = matrix.select(F.xxhash64("product_id", "date").alias("h"), "features").collect()
+    x = np.array([r.features.toArray() for r in sorted(keyed, key=lambda r: (r.h, list(r.features)))[:rows]])
+    for found, column in zip(forest.bin_edges(matrix, 4, rows), x.T):
+        known = np.unique(column)
+        expected = (known[1:] + known[:-1]) / 2 if len(known) <= 4 else np.unique(np.quantile(column, [0.25, 0.5, 0.75]))
+        assert found.tolist() == expected.tolist()
+
+
+def test_edges_of_many_partitions_send_the_driver_little(spark, monkeypatch):
+    """The ranking is done by tasks; what is collected is a count per band and the chosen rows."""
+    kept, real = [], forest.materialize
+    monkeypatch.setattr(forest, "materialize", lambda df, name: kept.append((name, real(df, name))) or kept[-1][1])
+    edges = forest.bin_edges(matrix_of(spark).repartition(16), rows=100)
+    assert [name for name, _ in kept] == ["edge_rows"] and kept[0][1].count() == 100 and len(edges) == 4

@@ -10,7 +10,9 @@ the next one is found among the vocabulary's entries that end there, and
 
 1. A text is cut into parts that never share a token (words, numbers, signs,
    spaces). A part's counts at its character ends are computed once per distinct
-   part while it is cached, as steps from one character to the next.
+   part while it is cached, as steps from one character to the next. What stands
+   between two spaces is cut once while it is cached, and a worker keeps both
+   caches from task to task.
 2. The steps of a text are its parts' steps in a row. Two kinds of prefixes end
    inside a part that would be cut otherwise if the text ended there, spaces
    before a word and the special string, and their steps are put right.
@@ -30,6 +32,9 @@ null; an empty table gives an empty table; further columns are not read, unless
 from __future__ import annotations
 
 import json
+import os
+import sys
+import types
 from array import array
 from collections.abc import Iterator
 
@@ -42,9 +47,11 @@ from pyspark.sql import functions as F
 
 from .quality import _typed
 
-#: Parts are kept in two generations of this many; pairs of tokens are dropped beyond that many.
-CACHED_PARTS = 200_000
+#: Parts and words are kept in two generations of this many; pairs of tokens are dropped beyond that many.
+CACHED_PARTS, CACHED_WORDS = 200_000, 400_000
 CACHED_PAIRS = 2_000_000
+#: Longer words are put together from their parts each time.
+WORD_CHARS = 40
 #: Rows that are handed on at once.
 ROWS = 500
 
@@ -55,6 +62,51 @@ CONTRACTIONS = ("'re", "'ve", "'ll")
 SPACES = regex.compile(r"\s{2,}(?=\S)")
 
 
+class _NoWord(Exception):
+    """A text cannot be cut at each of its spaces."""
+
+
+class _Words(dict):
+    """Steps of what stands between two spaces, the first of them included.
+
+    A part never goes on over a space, and takes one in at its start if a sign
+    follows. So parts can be cut at a space before a sign that is none; before
+    another space, at the end, and beside signs that the library classes
+    otherwise, the text is cut as a whole. Two generations, as for parts.
+    """
+
+    def __init__(self, counter: PrefixCounter):
+        self.counter, self.older = counter, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            if not word or word[0].isspace():
+                raise _NoWord
+            parts = [f" {word}"] if word.isascii() and word.isalpha() else self.counter.parts(f" {word}")
+            if not self.counter.unlike.isdisjoint(word):
+                raise _NoWord
+            found = self.counter.joined(parts)
+        if len(word) <= WORD_CHARS:
+            if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
+        return found
+
+
+def counter_of(path: str) -> PrefixCounter:
+    """The counter of a tokenizer file, with what it has seen: one for all tasks of a Python worker."""
+    # Functions reach a worker by value, and their own globals do not outlive a task.
+    shared = sys.modules.setdefault("stocktide_counters", types.ModuleType("stocktide_counters"))
+    known = vars(shared).setdefault("by_file", {})
+    key = (path, os.stat(path).st_mtime_ns, os.stat(path).st_size)
+    if key not in known:
+        known.clear()  # one tokenizer at a time
+        known[key] = PrefixCounter(path)
+    return known[key]
+
+
 class PrefixCounter:
     """Steps of token counts from character to character, for one tokenizer file."""
 
@@ -71,23 +123,22 @@ class PrefixCounter:
         if any(x["single_word"] or x["lstrip"] or x["rstrip"] for x in model["added_tokens"]):
             raise ValueError("special strings that depend on their neighbours are not supported")
         vocabulary = {as_bytes(x) for x in model["model"]["vocab"] if x not in self.special}
-        # Every beginning of an entry has a number; the next one is found by number and byte.
-        self.next: dict[int, int] = {}
-        numbers: dict[bytes, int] = {b"": 0}
-        for entry in sorted(vocabulary):
-            for n in range(1, len(entry) + 1):
-                if entry[:n] not in numbers:
-                    number = numbers[entry[:n]] = len(numbers)
-                    self.next[numbers[entry[: n - 1]] << 8 | entry[n - 1]] = number
-        self.entry = [b""] * len(numbers)
-        for entry in vocabulary:
-            self.entry[numbers[entry]] = entry
+        # Every beginning of an entry has the number of that entry, 0 if it is none itself, and what can follow by byte.
+        self.entry = [b"", *sorted(vocabulary)]
+        self.longest = max(map(len, self.entry))
+        self.next: dict[int, tuple[int, dict]] = {}
+        for number, entry in enumerate(self.entry[1:], 1):
+            following = self.next
+            for byte in entry[:-1]:
+                following = following.setdefault(byte, (0, {}))[1]
+            following[entry[-1]] = (number, {})  # beginnings come first in order
         pairs = (x.split(" ") if isinstance(x, str) else x for x in model["model"]["merges"])
         self.ranks = {(as_bytes(a), as_bytes(b)): rank for rank, (a, b) in enumerate(pairs)}
         self.library = ByteLevel(add_prefix_space=False)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.words = _Words(self)
         self.pairs: dict[int, bool] = {}
         self.alike: set[str] = set(map(chr, range(128)))
         self.unlike: set[str] = set()
@@ -113,21 +164,25 @@ class PrefixCounter:
 
     def counts(self, data: bytes) -> list[int]:
         """Token counts of all prefixes of a part's bytes, from the empty one on."""
-        following, entry, pairs = self.next.get, self.entry, self.pairs.get
+        first, pairs = self.next, self.pairs.get
         n = len(data)
         last, count = [0] * (n + 1), [0] * (n + 1)
         for i in range(n):
-            before, number, counted = last[i] << 32, 0, count[i] + 1
-            for j in range(i, n):
-                number = following(number << 8 | data[j])
-                if number is None:
+            before, following, counted, j = last[i] << 32, first, count[i] + 1, i
+            for byte in data[i : i + self.longest]:
+                found = following.get(byte)
+                if found is None:
                     break
-                if entry[number] and not last[j + 1]:
+                number, following = found
+                j += 1
+                if number and not last[j]:
                     good = i == 0 or pairs(before | number)
                     if good is None:
                         good = self.fit(last[i], number)
                     if good:
-                        last[j + 1], count[j + 1] = number, counted
+                        last[j], count[j] = number, counted
+                if not following:
+                    break
         return count
 
     def steps(self, part: str) -> bytes:
@@ -162,9 +217,12 @@ class PrefixCounter:
 
     def plain(self, text: str) -> np.ndarray:
         """Steps of a text without special strings."""
-        parts = self.parts(text)
-        known = self.known
-        out = np.frombuffer(b"".join([known[p] if p in known else self.steps(p) for p in parts]), "<i2")
+        first, *others = text.split(" ")
+        try:
+            steps = [self.joined(self.parts(first)), *map(self.words.__getitem__, others)]
+        except _NoWord:
+            steps = [self.joined(self.parts(text))]
+        out = np.frombuffer(b"".join(steps), "<i2")
         if "  " in text or "\n" in text or "\t" in text or not text.isascii():
             for run in SPACES.finditer(text):
                 # Spaces at the end of a text are one part; before a word the last one is cut off.
@@ -176,6 +234,10 @@ class PrefixCounter:
                     out[at + 1] -= over
         return out
 
+    def joined(self, parts: list[str]) -> bytes:
+        known = self.known
+        return b"".join([known[p] if p in known else self.steps(p) for p in parts])
+
     def total(self, part: str) -> int:
         return int(np.frombuffer(self.steps(part), "<i2").sum())
 
@@ -220,7 +282,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("__text").schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(tokenizer)
+        counter = counter_of(tokenizer)
         for batch in batches:
             for i in range(0, len(batch), ROWS):
                 some = batch.slice(i, ROWS)

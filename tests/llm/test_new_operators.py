@@ -217,6 +217,22 @@ def test_counts_of_rows(spark, tokenizer):
     assert tokencount.count_tokens(df.where("false"), path).collect() == []
 
 
+def test_words_are_cut_once_and_as_in_whole_texts(tokenizer, monkeypatch):
+    path, library = tokenizer
+    counter = tokencount.counter_of(path)
+    assert tokencount.counter_of(path) is counter  # later tasks of a worker find what earlier ones have seen
+    signs, rng = [" ", "  ", "\n", " \n", "\t", "a", "don't", "'re", "we'll", "x1", "é", "日本", "!", "\u0085", "\u3000", "<|endoftext|>"], random.Random(5)
+    for caches in (400_000, 3):
+        monkeypatch.setattr(tokencount, "CACHED_WORDS", caches)
+        for text in ["", " ", " a", "a ", "a  b", "a \nb", "x" * 100 + " y", *("".join(rng.choices(signs, k=9)) for _ in range(300))]:
+            counts = [0, *np.cumsum(counter.of(text))]
+            assert counts == [library(text[:n]) for n in range(len(text) + 1)]
+    monkeypatch.setattr(counter, "parts", lambda text, real=counter.parts: [] if text == "" else pytest.fail(text))
+    monkeypatch.setattr(tokencount, "CACHED_WORDS", 400_000)
+    counter.words.update({w: counter.joined([f" {w}"]) for w in ("seen", "before")})
+    assert counter.of(" seen before seen").sum() == library(" seen before seen")
+
+
 def test_null_budget_and_place(spark, tokenizer):
     df = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
     counted = tokencount.count_tokens(df, tokenizer[0])

@@ -54,15 +54,32 @@ def tried_features(paths: np.ndarray, tree: int, features: int, rules: TreeRules
     return np.sort(np.argpartition(order, rules.tried - 1, axis=1)[:, : rules.tried], axis=1)
 
 
+def _scale(w: np.ndarray, sums: np.ndarray) -> float:
+    """The power of two above all draws, by which sums of whole labels and the draws fit into one exact number; 0 if they do not."""
+    scale = 2.0 ** int(w.sum() + 1).bit_length()
+    fits = np.abs(sums).sum() * scale < 2.0**52  # not for null labels
+    return scale if fits and (w == np.floor(w)).all() and (sums == np.floor(sums)).all() else 0.0
+
+
 def histograms(rows: np.ndarray, here: np.ndarray, y: np.ndarray, w: np.ndarray, node: np.ndarray, columns: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
     """Draws and sums of labels by node, tried column and bin; ``here`` are the rows that count, the others go by row."""
     nodes, tried = columns.shape
     flat, at = rows.ravel(), here * rows.shape[1]
     base, sums = node * bins, w * y
     count, total = np.empty((tried, nodes * bins)), np.empty((tried, nodes * bins))
+    scale = _scale(w, sums) if len(here) > nodes * bins else 0.0
+    both = sums * scale + w if scale else None
+    by_place = np.ascontiguousarray(columns.T)
     for i in range(tried):
-        code = base + flat.take(at + columns[:, i][node])
-        count[i], total[i] = np.bincount(code, w, nodes * bins), np.bincount(code, sums, nodes * bins)
+        place = by_place[i].take(node)
+        place += at
+        code = base + flat.take(place)
+        if scale:
+            found = np.bincount(code, both, nodes * bins)
+            np.floor(found / scale, out=total[i])
+            np.subtract(found, total[i] * scale, out=count[i])
+        else:
+            count[i], total[i] = np.bincount(code, w, nodes * bins), np.bincount(code, sums, nodes * bins)
     shape = lambda x: x.reshape(tried, nodes, bins).transpose(1, 0, 2)
     return shape(count), shape(total)
 
@@ -77,8 +94,15 @@ def best_splits(count: np.ndarray, total: np.ndarray, min_leaf_rows: int) -> tup
     all_n, all_sum = count[:, :1].sum(axis=2, keepdims=True), total[:, :1].sum(axis=2, keepdims=True)
     right_n, right_sum = all_n - left_n, all_sum - left_sum
     fits = (left_n >= min_leaf_rows) & (right_n >= min_leaf_rows)
-    gain = left_sum**2 / np.maximum(left_n, 1) + right_sum**2 / np.maximum(right_n, 1) - all_sum**2 / np.maximum(all_n, 1)
-    gain = np.where(fits & (gain > 1e-9 * np.maximum(1.0, all_sum**2 / np.maximum(all_n, 1))), gain, 0.0).reshape(len(count), -1)
+    whole = all_sum**2 / np.maximum(all_n, 1)
+    gain = np.square(left_sum, out=left_sum)
+    gain /= np.maximum(left_n, 1, out=left_n)
+    np.square(right_sum, out=right_sum)
+    right_sum /= np.maximum(right_n, 1, out=right_n)
+    gain += right_sum
+    gain -= whole
+    gain[~(fits & (gain > 1e-9 * np.maximum(1.0, whole)))] = 0.0
+    gain = gain.reshape(len(count), -1)
     at = gain.argmax(axis=1)
     place, cut = np.divmod(at, count.shape[2] - 1)
     return place, cut, gain[np.arange(len(gain)), at]

@@ -213,3 +213,18 @@ def test_edges_of_many_partitions_send_the_driver_little(spark, monkeypatch):
     monkeypatch.setattr(forest, "materialize", lambda df, name: kept.append((name, real(df, name))) or kept[-1][1])
     edges = forest.bin_edges(matrix_of(spark).repartition(16), rows=100)
     assert [name for name, _ in kept] == ["edge_rows"] and kept[0][1].count() == 100 and len(edges) == 4
+
+
+@pytest.mark.parametrize("labels, at_once", [("whole", True), ("negative", True), ("fractions", False), ("huge", False)])
+def test_draws_and_labels_in_one_number(labels, at_once):
+    rows, y, w = binned(2000)
+    y = {"whole": y, "negative": -y, "fractions": y / 3, "huge": y * 2.0**45}[labels]
+    assert bool(trees._scale(w, w * y)) == at_once
+    here, node = np.arange(2000), np.repeat(np.arange(4), 500)
+    columns = trees.tried_features(np.arange(1, 5), 0, 6, RULES)
+    count, total = trees.histograms(rows, here, y, w, node, columns, RULES.bins)
+    for n in range(4):
+        for i, column in enumerate(columns[n]):
+            bins = rows[node == n, column]
+            assert (count[n, i] == np.bincount(bins, w[node == n], RULES.bins)).all()
+            assert (total[n, i] == np.bincount(bins, (w * y)[node == n], RULES.bins)).all()
